@@ -82,7 +82,6 @@ def word_evidence(lines: DataFrame) -> np.ndarray:
                 if content and shape == 2 and rich and len(text) < PARAGRAPH:
                     continue
                 sums[content, list(line_features(text, table))] += 1
-                sums[content, 0] += 0
         at = np.nonzero(sums.any(axis=0))[0]
         return {"f": at.tolist(), "b": sums[0, at].tolist(), "c": sums[1, at].tolist()}
 
@@ -101,11 +100,11 @@ def is_boilerplate(text: str, code: int, rich: bool, odds: np.ndarray, table: Ha
     content, shape = code // 4 - 1, code % 4
     if content == 1 and shape == 1 or content == 1 and len(text) > SHORT:
         return False
-    if content == 0 and shape == 0:
+    if content == 0 and shape == 0 or content < 0 and shape == 3 and LINK_LINE.match(text):
         return True
     score = float(odds[list(line_features(text, table))].sum())
     if content == 1:
-        return score > 1.0
+        return score > (1.0 if rich else 4.0)
     if content == 0:
         return score > (-12.0 if rich else -4.0)
     return score > 0.0
@@ -114,7 +113,7 @@ def is_boilerplate(text: str, code: int, rich: bool, odds: np.ndarray, table: Ha
 def split_lines(rich: bool, no: list[int], code: list[int], text: list[str], odds: np.ndarray, table: Hashed) -> list[bool]:
     """Per line, whether it is boilerplate."""
     out = [is_boilerplate(t, c, rich, odds, table) for c, t in zip(code, text)]
-    if code and all(c < 4 for c in code):  # no html: the page's place and blocks
+    if code and not any(code):  # no html: the page's place and blocks
         heading = next((i for i, t in enumerate(text) if t.startswith("# ")), 0)
         for i in range(len(text)):
             if i < heading or i == heading and text[i].startswith("# "):

@@ -59,7 +59,7 @@ class Node(NamedTuple):
 class Line(NamedTuple):
     no: int
     text: str
-    content: int  # 1 by structure, 0 not, -1 unknown
+    content: int  # 1 by structure, 0 not, -1 unknown (shape 3: the page has html all the same)
     sure: int  # 1 where the page has enough running text for its structure to be trusted
     shape: int  # 1: structure inside the container (heading, list, table, pre), 2: a plain paragraph there, 3: a block of another kind there, 0: outside
 
@@ -145,8 +145,8 @@ def _keep(nodes: list[Node], paths: dict, stack: list, buffer: list[str], linked
     nodes.append(Node(path, text, linked))
 
 
-def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool]:
-    """The element whose blocks hold the page's own text, and whether there is enough of it to be sure.
+def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool, bool]:
+    """The element whose blocks hold the page's own text, whether there is enough of it to be sure, and whether it is a guess.
 
     Fused path ratios are smoothed along the nodes; nodes half a deviation above the mean of the series are
     selected, and the parent element with most selected text wins; the first heading's parent stands in on
@@ -172,12 +172,13 @@ def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool]:
         best = heading
     if best is None:
         best = max(nodes, key=lambda x: len(x.text)).path.parent
-    return best, weight.get(best, 0) >= ENOUGH
+    sure = weight.get(best, 0) >= ENOUGH
+    return best, sure, heading is None and not sure
 
 
 def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
     """Per node: content or not by structure, its shape (see Line), and whether the page is rich in text."""
-    where, sure = container_of(nodes)
+    where, sure, guess = container_of(nodes)
     depth = len(where)
     state: dict[int, int] = {}  # of a path: 0 outside, 1 structure inside, 2 other inside
     kinds: dict[tuple[str, ...], float] = {}
@@ -207,6 +208,8 @@ def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
                 k = 3
             final[id(p)] = k
     shapes = [final[id(n.path)] for n in nodes]
+    if guess:  # neither a heading nor enough text: only the words of a line can tell
+        return [-1] * len(nodes), [3] * len(nodes), False
     return [int(k in (1, 2)) for k in shapes], shapes, sure and longest >= LONG
 
 
