@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.llm import mainbody, sitelines
+from tarnloom.llm import mainbody, quality, residue, sitelines
 from tarnloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": lambda s, d: quality.found(table(s, d, "pages")),
+    "p1_page_quality": lambda s, d: quality.page_quality(table(s, d, "pages")),
     "p2_found": lambda s, d: mainbody.boilerplate_lines(table(s, d, "pages")),
     "p2_main_text": lambda s, d: mainbody.main_body_text(table(s, d, "pages")),
+    "p3_found": lambda s, d: residue.found(table(s, d, "pages")),
+    "p3_residue_pages": lambda s, d: residue.residue_pages(table(s, d, "pages")),
     "p4_found": lambda s, d: sitelines.frequent_lines(table(s, d, "pages")).select("site", "line"),
     "p4_clean_pages": lambda s, d: sitelines.without_frequent_lines(table(s, d, "pages")),
 }
