@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.llm import mainbody, quality, residue, sitelines
+from tarnloom.llm import leaks, mainbody, quality, residue, sitelines
 from tarnloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_residue_pages": lambda s, d: residue.residue_pages(table(s, d, "pages")),
     "p4_found": lambda s, d: sitelines.frequent_lines(table(s, d, "pages")).select("site", "line"),
     "p4_clean_pages": lambda s, d: sitelines.without_frequent_lines(table(s, d, "pages")),
+    "p9_found": lambda s, d: leaks.found(table(s, d, "documents"), table(s, d, "benchmark")),
+    "p9_leaks": lambda s, d: leaks.leaks(table(s, d, "documents"), table(s, d, "benchmark")),
 }
 
 _SITE = r"nullif(regexp_replace(regexp_replace(lower(regexp_extract(regexp_replace(trim(meta_source_url), '^([A-Za-z][A-Za-z0-9+.\-]*:)?//', ''), '^(?:[^/?#@]*@)?([^/?#]*)', 1)), ':\d*$', ''), '^www\.', ''), '')"
@@ -33,7 +35,19 @@ c AS (SELECT site, line, count(*) AS n FROM l WHERE length(line) >= 10 GROUP BY
 t AS (SELECT site, count(*) AS pages FROM u GROUP BY site)
 """
 
+def _leaks_sql(columns: str) -> str:
+    words = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+    return f"""
+WITH i AS (SELECT item_id, {words} AS w FROM benchmark WHERE text IS NOT NULL),
+d AS (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL),
+ig AS (SELECT item_id, k, array_to_string(w[k:k + 11], ' ') AS g, len(w) - 11 AS n FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i)),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d))
+SELECT item_id, doc_id{columns} FROM ig JOIN dg ON ig.g = dg.g GROUP BY item_id, doc_id"""
+
+
 SQL: dict[str, str] = {
+    "p9_found": _leaks_sql(""),
+    "p9_leaks": _leaks_sql(", count(DISTINCT k) AS n_windows, max(n) AS item_windows"),
     "p4_found": _P4 + "SELECT c.site, c.line FROM c JOIN t ON c.site = t.site WHERE c.n >= t.pages * 0.125",
     "p4_clean_pages": _P4
     + f""", f AS (SELECT c.site, c.line FROM c JOIN t ON c.site = t.site WHERE c.n >= t.pages * 0.125),
