@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.llm import leaks, mainbody, neardup, quality, residue, sitelines
+from tarnloom.llm import leaks, mainbody, neardup, packing, quality, residue, sitelines
 from tarnloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_clean_pages": lambda s, d: sitelines.without_frequent_lines(table(s, d, "pages")),
     "p6_found": lambda s, d: neardup.found(table(s, d, "page_versions")),
     "p6_groups": lambda s, d: neardup.near_duplicate_groups(table(s, d, "page_versions")),
+    "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
+    "p8_container_fill": lambda s, d: packing.container_fill(packing.pack(table(s, d, "documents"))),
     "p9_found": lambda s, d: leaks.found(table(s, d, "documents"), table(s, d, "benchmark")),
     "p9_leaks": lambda s, d: leaks.leaks(table(s, d, "documents"), table(s, d, "benchmark")),
 }
