@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.llm import leaks, mainbody, neardup, packing, quality, residue, sitelines
+from tarnloom.llm import leaks, mainbody, neardup, packing, quality, residue, sitelines, subjects
 from tarnloom.tables import table
 
+
+def _areas(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, n) for n in ("documents", "labels", "subject_areas", "benchmark")]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda s, d: quality.found(table(s, d, "pages")),
     "p1_page_quality": lambda s, d: quality.page_quality(table(s, d, "pages")),
@@ -24,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_container_fill": lambda s, d: packing.container_fill(packing.pack(table(s, d, "documents"))),
     "p9_found": lambda s, d: leaks.found(table(s, d, "documents"), table(s, d, "benchmark")),
     "p9_leaks": lambda s, d: leaks.leaks(table(s, d, "documents"), table(s, d, "benchmark")),
+    "p10_found": lambda s, d: subjects.found(*_areas(s, d)),
+    "p10_document_subjects": lambda s, d: subjects.document_subjects(*_areas(s, d)),
+    "p10_composition": lambda s, d: subjects.composition(*_areas(s, d)),
 }
 
 _SITE = r"nullif(regexp_replace(regexp_replace(lower(regexp_extract(regexp_replace(trim(meta_source_url), '^([A-Za-z][A-Za-z0-9+.\-]*:)?//', ''), '^(?:[^/?#@]*@)?([^/?#]*)', 1)), ':\d*$', ''), '^www\.', ''), '')"
