@@ -150,10 +150,14 @@ def junk_measures(text: str, known: np.ndarray, table: Hashed) -> tuple[float, f
     return inside / max(1, signs - digits if digits < 0.3 * signs else signs), distinct
 
 
-def page_statistics(pages: DataFrame) -> DataFrame:
-    """One row of statistics per page, not ranked yet."""
-    body = materialize(main_body(pages.withColumn("lang", F.coalesce(language_code(F.col("meta_language")), F.lit("und"))), ["lang"]), "body")
-    known = pages.sparkSession.sparkContext.broadcast(known_words(body))
+def labelled_body(pages: DataFrame) -> DataFrame:
+    """Main bodies with the language their label names (`und` for none)."""
+    return materialize(main_body(pages.withColumn("lang", F.coalesce(language_code(F.col("meta_language")), F.lit("und"))), ["lang"]), "body")
+
+
+def page_statistics(body: DataFrame) -> DataFrame:
+    """One row of statistics per page, not ranked yet. body: page_id, lang, body_no, body."""
+    known = body.sparkSession.sparkContext.broadcast(known_words(body))
     names = ("page_id", "lang", "n_chars", "n_words", "n_lines", *STATS, "list_share", "table_share", "junk_share")
 
     def measure(c: dict[str, list], table: Hashed) -> dict[str, list]:
@@ -186,7 +190,7 @@ def page_statistics(pages: DataFrame) -> DataFrame:
         return out
 
     schema = "page_id bigint, lang string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{s} double" for s in STATS) + ", list_share double, table_share double, junk_share double"
-    return materialize(map_rows(body, measure, schema, setup=lambda: Hashed(BITS)), "page-statistics")
+    return materialize(map_rows(body.select("page_id", "lang", "body_no", "body"), measure, schema, setup=lambda: Hashed(BITS)), "page-statistics")
 
 
 def exact_tails(values: DataFrame, group: list[str]) -> DataFrame:
@@ -207,9 +211,9 @@ def exact_tails(values: DataFrame, group: list[str]) -> DataFrame:
     return ranks.select(*group, "value", (F.col("upto") - F.col("n") + 1).alias("rank"), (F.col("upto") / F.col("total")).alias("left_tail"), ((F.col("total") - F.col("upto") + F.col("n")) / F.col("total")).alias("right_tail"))
 
 
-def page_quality(pages: DataFrame) -> DataFrame:
+def page_quality(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
     """One row per page: its statistics, outlier_score and text_class (prose, list, table, junk)."""
-    stats = page_statistics(pages)
+    stats = page_statistics(labelled_body(pages) if body is None else body)
     long = stats.select("page_id", "lang", F.explode(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATS))).alias("x")).select("page_id", "lang", "x.stat", "x.value")
     tails = exact_tails(long.select("lang", "stat", "value"), ["lang", "stat"])
     tail = F.least(F.lit(1.0), 2 * F.least("left_tail", "right_tail"))

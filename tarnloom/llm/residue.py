@@ -104,10 +104,12 @@ def skeleton(words: list[int], constant: np.ndarray) -> tuple[int, int]:
     return hash(tuple(key)), n
 
 
-def body_units(pages: DataFrame) -> DataFrame:
-    """page_id, site, unit_no, chars, long, lines (of lists and tables), heading, residue, filler, words (empty for long units)."""
-    body = main_body(pages.withColumn("site", site_of(F.col("meta_source_url"))), ["site"])
+def body_with_site(pages: DataFrame) -> DataFrame:
+    return main_body(pages.withColumn("site", site_of(F.col("meta_source_url"))), ["site"])
+
 
+def body_units(body: DataFrame) -> DataFrame:
+    """page_id, site, unit_no, chars, long, lines (of lists and tables), heading, residue, filler, words (empty for long units)."""
     def cut(c: dict[str, list], table: Hashed) -> dict[str, list]:
         out: dict[str, list] = {k: [] for k in ("page_id", "site", "unit_no", "chars", "lines", "heading", "residue", "filler", "words")}
         for page, site, no, lines in zip(c["page_id"], c["site"], c["body_no"], c["body"]):
@@ -127,7 +129,7 @@ def body_units(pages: DataFrame) -> DataFrame:
         return out
 
     schema = "page_id bigint, site string, unit_no int, chars int, lines int, heading boolean, residue boolean, filler boolean, words array<int>"
-    return map_rows(body, cut, schema, setup=lambda: Hashed(BITS))
+    return map_rows(body.select("page_id", "site", "body_no", "body"), cut, schema, setup=lambda: Hashed(BITS))
 
 
 def features(words: list[int]) -> list[int]:
@@ -157,10 +159,10 @@ def message_evidence(units: DataFrame) -> np.ndarray:
     return np.clip(odds, -3.0, 3.0).astype(np.float32)
 
 
-def residue_pages(pages: DataFrame) -> DataFrame:
+def residue_pages(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
     """One row per page with residue units: page_id, n_units, n_residue, n_template, n_filler, other_chars, excluded."""
     spark = pages.sparkSession
-    units = materialize(body_units(pages), "units")
+    units = materialize(body_units(body_with_site(pages) if body is None else body), "units")
     site = F.coalesce("site", F.lit(""))
 
     spread = (
