@@ -34,14 +34,26 @@ WORD = re.compile(r"[^\W\d_]+|\d+")
 LINK_LINE = re.compile(r"^\s*(?:[-*•]\s*)?!?\[[^\]]*\]\([^()\s]*\)")
 
 
-def line_features(text: str, table: Hashed) -> set[int]:
-    """Buckets of the line's words and word pairs; digits count as one word."""
+class LineWords(Hashed):
+    """Hashed words; digits count as one word."""
+
+    def __missing__(self, word: str) -> int:
+        if word[0] <= "9":
+            word = "0"
+            if "0" in self:
+                return self["0"]
+        return super().__missing__(word)
+
+
+def line_words(text: str, table: LineWords) -> list[int]:
     if "](" in text:
         text = LINK_TARGET.sub("]", text)
-    words = [w if w[0] > "9" else "0" for w in WORD.findall(text.casefold())]
-    features = {table[w] for w in words}
-    features.update([table[a + " " + b] for a, b in zip(words, words[1:])])
-    return features
+    return [table[w] for w in WORD.findall(text.casefold())]
+
+
+def pair(a, b):
+    """Bucket of a word pair."""
+    return (a * 40503 + b * 7919 + 12345) & ((1 << BITS) - 1)
 
 
 def parsed_lines(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
@@ -70,8 +82,8 @@ def parsed_lines(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
 def word_evidence(lines: DataFrame) -> np.ndarray:
     """Capped log-odds (boilerplate against content) per bucket, summed over all pages; fixed size."""
 
-    def count(c: dict[str, list], table: Hashed) -> dict[str, list]:
-        sums = np.zeros((2, 1 << BITS), np.int64)
+    def count(c: dict[str, list], table: LineWords) -> dict[str, list]:
+        ids: tuple[list[int], list[int]] = ([], [])  # boilerplate, content; -1 parts the lines
         for rich, codes, texts in zip(c["rich"], c["code"], c["text"]):
             for code, text in zip(codes, texts):
                 content, shape = code // 4 - 1, code % 4
@@ -81,28 +93,38 @@ def word_evidence(lines: DataFrame) -> np.ndarray:
                     continue  # titles of other pages say what content says
                 if content and shape == 2 and rich and len(text) < PARAGRAPH:
                     continue
-                sums[content, list(line_features(text, table))] += 1
+                ids[content].extend(line_words(text, table))
+                ids[content].append(-1)
+        sums = np.zeros((2, 1 << BITS), np.int64)
+        for k in (0, 1):
+            x = np.array(ids[k], np.int64)
+            line = np.cumsum(x < 0) << BITS
+            a, b = x[:-1], x[1:]
+            ok = np.flatnonzero((a >= 0) & (b >= 0))
+            once = np.unique(np.concatenate([(line | x)[x >= 0], line[ok] | pair(a[ok], b[ok])]))  # a feature counts once a line
+            sums[k] += np.bincount(once & ((1 << BITS) - 1), minlength=1 << BITS)
         at = np.nonzero(sums.any(axis=0))[0]
         return {"f": at.tolist(), "b": sums[0, at].tolist(), "c": sums[1, at].tolist()}
 
-    counts = map_rows(lines.select("rich", "code", "text"), count, "f int, b bigint, c bigint", setup=lambda: Hashed(BITS))
+    counts = map_rows(lines.select("rich", "code", "text"), count, "f int, b bigint, c bigint", setup=lambda: LineWords(BITS))
     rows = counts.groupBy("f").agg(F.sum("b").alias("b"), F.sum("c").alias("c")).toPandas()
     b, c = np.zeros(1 << BITS), np.zeros(1 << BITS)
     b[rows["f"]], c[rows["f"]] = rows["b"], rows["c"]
-    nb, nc = max(b.max(initial=0), 1.0), max(c.max(initial=0), 1.0)
+    nb, nc = max(b.max(initial=0), 1.0), max(c.max(initial=0), 1.0)  # content has more words, and the benefit of doubt
     odds = np.log((b + 0.5) / (nb + 1)) - np.log((c + 0.5) / (nc + 1))
     odds[(b + c) == 0] = 0.0
     return np.clip(odds, -CAP, CAP).astype(np.float32)
 
 
-def is_boilerplate(text: str, code: int, rich: bool, odds: np.ndarray, table: Hashed) -> bool:
+def is_boilerplate(text: str, code: int, rich: bool, odds: list[float], table: LineWords) -> bool:
     """The fused decision for one line (without its neighbours)."""
     content, shape = code // 4 - 1, code % 4
     if content == 1 and shape == 1 or content == 1 and len(text) > SHORT:
         return False
     if content == 0 and shape == 0 or content < 0 and shape == 3 and LINK_LINE.match(text):
         return True
-    score = float(odds[list(line_features(text, table))].sum())
+    words = line_words(text, table)
+    score = sum([odds[f] for f in {*words, *map(pair, words, words[1:])}])
     if content == 1:
         return score > (1.0 if rich else 4.0)
     if content == 0:
@@ -110,7 +132,7 @@ def is_boilerplate(text: str, code: int, rich: bool, odds: np.ndarray, table: Ha
     return score > 0.0
 
 
-def split_lines(rich: bool, no: list[int], code: list[int], text: list[str], odds: np.ndarray, table: Hashed) -> list[bool]:
+def split_lines(rich: bool, no: list[int], code: list[int], text: list[str], odds: list[float], table: LineWords) -> list[bool]:
     """Per line, whether it is boilerplate."""
     out = [is_boilerplate(t, c, rich, odds, table) for c, t in zip(code, text)]
     if code and not any(code):  # no html: the page's place and blocks
@@ -130,17 +152,17 @@ def main_body(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
     odds = pages.sparkSession.sparkContext.broadcast(word_evidence(lines))
     kinds = {f.name: f.dataType.simpleString() for f in lines.schema}
 
-    def split(c: dict[str, list], table: Hashed) -> dict[str, list]:
+    def split(c: dict[str, list], state: tuple[list[float], LineWords]) -> dict[str, list]:
         out: dict[str, list] = {"page_id": c["page_id"], **{k: c[k] for k in carry}, "body_no": [], "body": [], "other_no": []}
         for rich, no, code, text in zip(c["rich"], c["no"], c["code"], c["text"]):
-            drop = split_lines(rich, no, code, text, odds.value, table)
+            drop = split_lines(rich, no, code, text, *state)
             out["body_no"].append([n for n, d in zip(no, drop) if not d])
             out["body"].append([t for t, d in zip(text, drop) if not d])
             out["other_no"].append([n for n, d in zip(no, drop) if d])
         return out
 
     schema = ", ".join(["page_id bigint", *(f"`{k}` {kinds[k]}" for k in carry), "body_no array<int>", "body array<string>", "other_no array<int>"])
-    return map_rows(lines, split, schema, setup=lambda: Hashed(BITS))
+    return map_rows(lines, split, schema, setup=lambda: (odds.value.tolist(), LineWords(BITS)))
 
 
 def boilerplate_lines(pages: DataFrame) -> DataFrame:

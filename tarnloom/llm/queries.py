@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.llm import leaks, mainbody, neardup, packing, quality, residue, sitelines, subjects
+from tarnloom.llm import languages, leaks, mainbody, neardup, packing, quality, residue, sitelines, subjects
 from tarnloom.tables import table
 
 
@@ -23,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_residue_pages": lambda s, d: residue.residue_pages(table(s, d, "pages")),
     "p4_found": lambda s, d: sitelines.frequent_lines(table(s, d, "pages")).select("site", "line"),
     "p4_clean_pages": lambda s, d: sitelines.without_frequent_lines(table(s, d, "pages")),
+    "p5_found": lambda s, d: languages.found(table(s, d, "pages")),
+    "p5_stretches": lambda s, d: languages.stretches(table(s, d, "pages")),
+    "p5_page_languages": lambda s, d: languages.page_languages(table(s, d, "pages")),
     "p6_found": lambda s, d: neardup.found(table(s, d, "page_versions")),
     "p6_groups": lambda s, d: neardup.near_duplicate_groups(table(s, d, "page_versions")),
     "p8_pack": lambda s, d: packing.pack(table(s, d, "documents")),
