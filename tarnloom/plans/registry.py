@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.plans import skewed
+from tarnloom.plans import skewed, web
 
-MODULES = (skewed,)
+MODULES = (skewed, web)
 FLAGSHIP = "p7_owner_stats"
 
 
