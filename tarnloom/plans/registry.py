@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.plans import skewed, web
+from tarnloom.plans import history, metering, skewed, web
 
-MODULES = (skewed, web)
+MODULES = (skewed, web, history, metering)
 FLAGSHIP = "p7_owner_stats"
 
 
