@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.plans import history, metering, skewed, web
+from tarnloom.plans import documents, history, metering, relational, skewed, web
 
-MODULES = (skewed, web, history, metering)
+MODULES = (skewed, web, history, metering, documents, relational)
 FLAGSHIP = "p7_owner_stats"
 
 
