@@ -112,7 +112,7 @@ def word_evidence(lines: DataFrame) -> np.ndarray:
     b[rows["f"]], c[rows["f"]] = rows["b"], rows["c"]
     nb, nc = max(b.max(initial=0), 1.0), max(c.max(initial=0), 1.0)  # content has more words, and the benefit of doubt
     odds = np.log((b + 0.5) / (nb + 1)) - np.log((c + 0.5) / (nc + 1))
-    odds[(b + c) == 0] = 0.0
+    odds *= (b + c) / (b + c + 2.0)  # rare features say little
     return np.clip(odds, -CAP, CAP).astype(np.float32)
 
 
