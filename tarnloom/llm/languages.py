@@ -31,7 +31,7 @@ from tarnloom.llm.sitelines import site_of
 from tarnloom.session import materialize
 
 TRAIN_PAGES = 1500
-HIDDEN, STEPS, BATCH = 16, 260, 1024
+HIDDEN, STEPS, BATCH = 16, 200, 256
 MIN_PARAGRAPHS = 3
 SENTENCE = re.compile(r"[.!?…](?:\s|$|[\"'”’»)*_])")
 WORD = re.compile(r"[^\W\d_]+")
