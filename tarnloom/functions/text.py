@@ -80,8 +80,9 @@ def clean_external(text: Column, least: int = 50) -> Column:
 
 def fenced_json(text: Column) -> Column:
     """The JSON text of a reply: the whole where it parses, else its first fenced block, else its outer braces or brackets."""
-    whole = F.trim(text)
-    fence = F.trim(F.regexp_extract(text, r"```(?:json)?\s*([\s\S]*?)```", 1))
+    bare = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    whole = bare(text)
+    fence = bare(F.regexp_extract(text, r"```(?:json)?\s*([\s\S]*?)```", 1))
     braces = F.regexp_extract(text, r"(\{[\s\S]*\})", 1)
     brackets = F.regexp_extract(text, r"(\[[\s\S]*\])", 1)
     valid = lambda c: F.when(F.try_parse_json(c).isNotNull() & (F.length(c) > 0), c)

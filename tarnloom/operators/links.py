@@ -53,7 +53,7 @@ def denial_reason(link: Column, o: LinkOptions, robots_allowed: Column | None =
         .otherwise("EXTERNAL")
     )
     return (
-        F.when(~U.scheme(link).isin("http", "https") | (U.host(link) == ""), F.when(U.is_non_web(link), "PROTOCOL").otherwise("PARSE"))
+        F.when(link.isNull() | ~U.scheme(link).isin("http", "https") | (U.host(link) == ""), F.when(F.coalesce(U.is_non_web(link), F.lit(False)), "PROTOCOL").otherwise("PARSE"))
         .when(U.depth(link) > o.max_depth, "DEPTH")
         .when(U.is_file(U.path(link)), "FILE")
         .when(internal, inside)
