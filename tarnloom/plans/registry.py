@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.plans import documents, history, markup, metering, relational, skewed, web
+from tarnloom.plans import documents, history, lists, markup, metering, relational, skewed, web
 
-MODULES = (skewed, web, history, metering, documents, relational, markup)
+MODULES = (skewed, web, history, metering, documents, relational, markup, lists)
 FLAGSHIP = "p7_owner_stats"
 
 
