@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 
 CHUNK = 128  # bytes in a window
-PAD = 0  # the byte that fills windows up; it is masked
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -49,8 +48,8 @@ class ByteGRU:
             out[steps - 1 - t, :, k:] = h[1]
         return out
 
-    def probabilities(self, data: np.ndarray) -> np.ndarray:
-        """(B, classes): probabilities of every position, averaged over the window's real bytes, times their number.
+    def probabilities(self, data: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """(B, classes): the probabilities of every position, summed over those that the mask counts.
 
         Both directions run side by side in buffers that stay in the processor's cache: a window's bytes pick rows of
         the input table, gates and candidate share one product with the state.
@@ -89,10 +88,10 @@ class ByteGRU:
         np.exp(logits, out=logits)
         logits /= logits.sum(-1, keepdims=True)
         logits = logits.reshape(steps, n, self.k)
-        logits *= (data.T != PAD)[:, :, None]
+        logits *= mask.T[:, :, None]
         return logits.sum(0)
 
-    def gradients(self, data: np.ndarray, label: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    def gradients(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray) -> tuple[float, list[np.ndarray]]:
         n, steps = data.shape
         k = self.h
         cache: list = []
@@ -101,7 +100,7 @@ class ByteGRU:
         logits -= logits.max(-1, keepdims=True)
         p = np.exp(logits)
         p /= p.sum(-1, keepdims=True)
-        mask = (data != PAD).astype(np.float32).T  # (T, B)
+        mask = mask.astype(np.float32).T  # (T, B)
         total = max(1.0, float(mask.sum()))
         loss = -float((np.log(p[:, np.arange(n), label] + 1e-9) * mask).sum()) / total
         d = p
@@ -128,7 +127,7 @@ class ByteGRU:
             dh = dh * z + np.matmul(dg, self.u.transpose(0, 2, 1))
         return loss, [gx, gu, gb, gv, gc]
 
-    def train(self, data: np.ndarray, label: np.ndarray, steps: int = 300, batch: int = 96, rate: float = 0.02, seed: int = 0) -> list[float]:
+    def train(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray, steps: int = 300, batch: int = 96, rate: float = 0.02, seed: int = 0) -> list[float]:
         """Adam over balanced random batches; windows (N, T) of bytes with one label each."""
         rng = np.random.default_rng(seed)
         m = [np.zeros_like(p) for p in self.parts]
@@ -137,7 +136,7 @@ class ByteGRU:
         losses = []
         for i in range(1, steps + 1):
             at = np.concatenate([rng.choice(r, max(1, batch // len(rows))) for r in rows])
-            loss, grads = self.gradients(data[at], label[at])
+            loss, grads = self.gradients(data[at], label[at], mask[at])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
             lr = rate * min(1.0, 1.5 - i / steps)
             for p, g, a, b in zip(self.parts, grads, m, w):
@@ -151,8 +150,34 @@ class ByteGRU:
         return losses
 
 
-def windows(texts: list[bytes], size: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
-    """Whole texts cut into windows (N, size), the last one filled up, and the text each belongs to."""
-    counts = [max(1, -(-len(t) // size)) for t in texts]
-    flat = b"".join(t.ljust(n * size, b"\0") for t, n in zip(texts, counts))
-    return np.frombuffer(flat, np.uint8).reshape(-1, size), np.repeat(np.arange(len(texts)), counts)
+def windows(texts: list[bytes], size: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whole texts cut into windows (N, size), the text each belongs to, and the positions that count.
+
+    The last window of a text reaches back over the one before, a text shorter than a window is repeated in it; what a
+    window shows twice counts once, so every byte counts exactly once.
+    """
+    parts: list[bytes] = []
+    owner: list[int] = []
+    first: list[int] = []  # counted positions: first..last of each window
+    last: list[int] = []
+    for k, t in enumerate(texts):
+        n = len(t)
+        if n < size:
+            parts.append((t * (size // n + 1))[:size] if n else b" " * size)
+            owner.append(k)
+            first.append(0)
+            last.append(n)
+            continue
+        whole = n // size
+        parts.append(t[: whole * size])
+        owner += [k] * whole
+        first += [0] * whole
+        last += [size] * whole
+        if n % size:
+            parts.append(t[n - size :])
+            owner.append(k)
+            first.append(size - n % size)
+            last.append(size)
+    at = np.arange(size)
+    mask = (at >= np.array(first, np.int64)[:, None]) & (at < np.array(last, np.int64)[:, None])
+    return np.frombuffer(b"".join(parts), np.uint8).reshape(-1, size), np.array(owner, np.int64), mask

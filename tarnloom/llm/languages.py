@@ -63,18 +63,16 @@ def train_network(sample: list[tuple[str, list[str]]], seed: int = 0) -> ByteGRU
         labels += [LANGS.index(code)] * len(paragraphs)
     if len(set(labels)) < 2:
         return None
-    data, owner = windows(texts)
+    data, owner, mask = windows(texts)
     label = np.array(labels)[owner]
-    full = (data != 0).sum(1) >= 40
-    data, owner, label = data[full], owner[full], label[full]
     first = ByteGRU(len(LANGS), HIDDEN, seed)
-    first.train(data, label, steps=STEPS // 2, seed=seed)
-    p = np.concatenate([first.probabilities(data[i : i + BATCH]) for i in range(0, len(data), BATCH)])
+    first.train(data, label, mask, steps=STEPS // 2, seed=seed)
+    p = np.concatenate([first.probabilities(data[i : i + BATCH], mask[i : i + BATCH]) for i in range(0, len(data), BATCH)])
     p /= np.maximum(1e-9, p.sum(1, keepdims=True))
     keep = ~((p.argmax(1) != label) & (p.max(1) > 0.6))
     if len(np.unique(label[keep])) == len(np.unique(label)):
-        data, label = data[keep], label[keep]
-    first.train(data, label, steps=STEPS - STEPS // 2, rate=0.01, seed=seed + 1)
+        data, label, mask = data[keep], label[keep], mask[keep]
+    first.train(data, label, mask, steps=STEPS - STEPS // 2, rate=0.01, seed=seed + 1)
     return first
 
 
@@ -104,10 +102,10 @@ def paragraph_languages(body: DataFrame, train_pages: int = TRAIN_PAGES) -> Data
 
     def label(c: dict[str, list]) -> dict[str, list]:
         flat = [as_bytes(p) for ps in c["paragraphs"] for p in ps]
-        data, owner = windows(flat)
+        data, owner, mask = windows(flat)
         sums = np.zeros((len(flat), len(LANGS)))
         for i in range(0, len(data), BATCH):
-            np.add.at(sums, owner[i : i + BATCH], shared.value.probabilities(data[i : i + BATCH]))
+            np.add.at(sums, owner[i : i + BATCH], shared.value.probabilities(data[i : i + BATCH], mask[i : i + BATCH]))
         sums /= np.maximum(1e-9, sums.sum(1, keepdims=True))
         out: dict[str, list] = {"page_id": c["page_id"], "label": c["label"], "langs": [], "confidences": []}
         at = 0
