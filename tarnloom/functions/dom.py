@@ -18,7 +18,10 @@ NOT_MAIN = (
     ".ad", ".ads", ".advert", "#ad", ".lang-selector", ".language", "#language-selector", ".social", ".social-media", ".social-links", "#social", ".menu", ".navigation", "#nav", ".breadcrumbs", "#breadcrumbs",
     ".share", "#share", ".widget", "#widget", ".cookie", "#cookie",
 )
-KEEP_ANYWAY = ("#main",)
+KEEP_ANYWAY = (
+    "#main", ".swoogo-cols", ".swoogo-text", ".swoogo-table-div", ".swoogo-space", ".swoogo-alert", ".swoogo-sponsors", ".swoogo-title", ".swoogo-tabs", ".swoogo-logo", ".swoogo-image",
+    ".swoogo-button", ".swoogo-agenda",
+)
 
 
 class Element:

@@ -16,7 +16,7 @@ FILE_EXTENSIONS = (
     ".png", ".jpg", ".jpeg", ".gif", ".css", ".js", ".ico", ".svg", ".tiff", ".zip", ".exe", ".dmg",
     ".mp4", ".mp3", ".wav", ".pptx", ".xlsx", ".avi", ".flv", ".woff", ".ttf", ".woff2", ".webp", ".inc",
 )
-SOCIAL_MARKS = ("facebook.com", "twitter.com", "linkedin.com", "instagram.com", "pinterest.com", "mailto:", "github.com", "calendly.com", "discord.gg", "discord.com")
+SOCIAL_MARKS = ("facebook.com", "twitter.com", "linkedin.com", "instagram.com", "pinterest.com", "github.com", "calendly.com", "discord.gg", "discord.com")
 NON_WEB = ("mailto:", "tel:", "telnet:", "ftp:", "ftps:", "ssh:", "file:")
 #: Suffixes of two labels under which a registrable domain has three; a parameter, for want of the public list.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
@@ -146,9 +146,9 @@ def is_internal(u: Column, base: Column) -> Column:
 
 
 def has_section(u: Column) -> Column:
-    """Points into a page: a fragment of more than one sign that is no route."""
+    """Points into a page: it has a fragment, but not one with a slash and something more, which is a route."""
     f = fragment(u)
-    return (F.length(f) > 1) & ~f.rlike(r"^#!?/")
+    return (f != "") & ~(F.contains(f, F.lit("/")) & (F.length(f) > 2))
 
 
 def is_non_web(u: Column) -> Column:

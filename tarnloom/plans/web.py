@@ -110,11 +110,11 @@ r AS (SELECT seq, url, CASE
   WHEN {_DEPTH} > 1 THEN 'DEPTH'
   WHEN {_ISFILE} THEN 'FILE'
   WHEN regexp_replace({_HOST}, '^(?:www\.)+', '') = bhost THEN CASE
-    WHEN length({_SF}) > 1 AND NOT regexp_matches({_SF}, '^#!?/') THEN 'SECTION'
+    WHEN {_SF} <> '' AND NOT (contains({_SF}, '/') AND length({_SF}) > 2) THEN 'SECTION'
     WHEN NOT starts_with({_PATH}, '/') THEN 'BACKWARD'
     WHEN regexp_matches({_PATH}, '-[0-9]*5[0-9]*$') THEN 'EXCLUDE' END
   ELSE CASE
-    WHEN regexp_matches(url, 'facebook\.com|twitter\.com|linkedin\.com|instagram\.com|pinterest\.com|mailto:|github\.com|calendly\.com|discord\.gg|discord\.com') THEN 'SOCIAL'
+    WHEN regexp_matches(url, 'facebook\.com|twitter\.com|linkedin\.com|instagram\.com|pinterest\.com|github\.com|calendly\.com|discord\.gg|discord\.com') THEN 'SOCIAL'
     WHEN regexp_matches({_PATH}, '-[0-9]*5[0-9]*$') THEN 'EXCLUDE'
     WHEN len(list_filter(string_split({_PATH}, '/'), lambda s: s <> '')) > 0 THEN NULL
     WHEN {_DOM} = bdom THEN NULL ELSE 'EXTERNAL' END
