@@ -6,12 +6,13 @@
    are range-partitioned and sorted, counted within each partition, and shifted by the counts of the partitions
    before; ties share a rank.
 3. The empirical tail probabilities are combined into an outlier score (sum of negative logarithms).
-4. The class follows the kind that fills more than half of the characters; text is junk where its score stands out
-   and its words say nothing or only repeat.
+4. The class follows the kind that fills more than half of the characters; text is junk where its words say nothing or
+   only repeat. The score ranks pages and decides no class: it falls as junk becomes common or a language rare.
 
 Defined results: pages with NULL or blank markdown give no row; a main body of headings alone has zero statistics and
 class `prose`; repeated deliveries count once; labels that name no known language form the group `und`; an empty
-table gives an empty result; texts of any length are read whole.
+table gives an empty result; texts of any length are read whole. A text in words that no other text of the table has
+and without short words of the five known languages cannot be told from noise and is junk.
 """
 
 from __future__ import annotations
@@ -30,8 +31,17 @@ from tarnloom.session import materialize
 BITS = 18
 STATS = ("mean_word_length", "symbol_ratio", "digit_ratio", "end_punct_share", "common_share", "distinct_pairs", "longest_word")
 KNOWN_SHARE, DISTINCT_SHARE = 0.45, 0.5  # below either, a block says nothing
+# Short words of the five languages, of three letters or more. Text that has FORM_SHARE of them says something
+# even where the table is too small to know its other words.
+FORM_WORDS = frozenset(
+    "the and that with for was were are this from have has had not but they which his her their who when where would there been "
+    "der die das und den dem des von mit ist sind nicht ein eine einer einem einen auf für sich auch als aus wird war waren haben hat noch "
+    "les des une que qui dans pour est sur pas avec par plus aux sont cette ses mais ont était "
+    "los las una que con por para del como más pero sus fue son está entre cuando sin sobre "
+    "che non per una del della dei delle con sono nel nella gli alla come più anche dal era questo".split()
+)
+FORM_SHARE = 0.08
 MIN_JUNK = 120  # characters; a shorter text is a message, whatever its words
-MIN_SCORE = 6.0  # summed -log tail probability over STATS from which a page stands out
 
 ITEM = re.compile(r"\s*(?:[-*•+–‣▪]\s|\(?\d{1,4}[.)]\s|[a-z][.)]\s)")
 PIPES = re.compile(r"^\s*\|.*\|\s*$")
@@ -112,13 +122,21 @@ class Measures:
                 self.text.append(" ".join(text))
 
 
-def known_words(body: DataFrame) -> np.ndarray:
-    """Buckets of words met in sentences of enough pages; fixed size."""
+def distinct_texts(body: DataFrame) -> DataFrame:
+    """One page of those whose main bodies agree but for their headings: copies of a text are one witness of its words."""
+    text = F.filter("body", lambda x: ~x.rlike(r"^\s*#{1,6}\s"))
+    keys = body.select("page_id", F.xxhash64(text).alias("h"))
+    kept = keys.groupBy("h").agg(F.min("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").select("h", "kept")
+    return body.join(keys.join(kept, "h").where("page_id != kept").select("page_id"), "page_id", "left_anti")
+
+
+def known_words(body: DataFrame) -> dict[str, np.ndarray]:
+    """Per language label and, under '', for all: buckets of words met in sentences of enough texts; fixed size each."""
 
     def count(c: dict[str, list], table: Hashed) -> dict[str, list]:
-        sums = np.zeros(1 << BITS, np.int64)
-        pages = 0
-        for no, lines in zip(c["body_no"], c["body"]):
+        sums: dict[str, np.ndarray] = {"": np.zeros(1 << BITS, np.int64)}
+        pages = {"": 0}
+        for lang, no, lines in zip(c["lang"], c["body_no"], c["body"]):
             words: set[int] = set()
             for block in blocks_of(no, lines):
                 text = " ".join(x.strip() for x in block)
@@ -126,17 +144,29 @@ def known_words(body: DataFrame) -> np.ndarray:
                     found = WORD.findall(text.casefold())
                     if len(found) >= 6 and len(set(found)) > len(found) // 2:
                         words.update([table[w] for w in found])
-            sums[list(words)] += 1
-            pages += bool(words)
-        at = np.nonzero(sums)[0]
-        return {"f": [-1, *at.tolist()], "n": [pages, *sums[at].tolist()]}
+            if words:
+                at = list(words)
+                for group in ("", lang) if lang != "und" else ("",):
+                    if group not in sums:
+                        sums[group], pages[group] = np.zeros(1 << BITS, np.int64), 0
+                    sums[group][at] += 1
+                    pages[group] += 1
+        out: dict[str, list] = {"g": [], "f": [], "n": []}
+        for group, held in sums.items():
+            at = np.nonzero(held)[0]
+            out["g"] += [group] * (len(at) + 1)
+            out["f"] += [-1, *at.tolist()]
+            out["n"] += [pages[group], *held[at].tolist()]
+        return out
 
-    rows = map_rows(body.select("body_no", "body"), count, "f int, n bigint", setup=lambda: Hashed(BITS)).groupBy("f").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(1 << BITS)
-    pages = int(rows.loc[rows["f"] < 0, "n"].sum())
-    rows = rows[rows["f"] >= 0]
-    n[rows["f"]] = rows["n"]
-    return n >= max(2, 0.0005 * pages)
+    texts = distinct_texts(body).select("lang", "body_no", "body")
+    counts = map_rows(texts, count, "g string, f int, n bigint", setup=lambda: Hashed(BITS)).groupBy("g", "f").agg(F.sum("n").alias("n")).toPandas()
+    known = {"": np.zeros(1 << BITS, bool)}
+    for group, rows in counts.groupby("g"):
+        least = max(2, 0.0005 * int(rows.loc[rows["f"] < 0, "n"].sum()))
+        known[group] = np.zeros(1 << BITS, bool)
+        known[group][rows.loc[(rows["f"] >= 0) & (rows["n"] >= least), "f"]] = True
+    return {group: known[""] | own for group, own in known.items()}
 
 
 def junk_measures(text: str, known: np.ndarray, table: Hashed) -> tuple[float, float]:
@@ -150,6 +180,14 @@ def junk_measures(text: str, known: np.ndarray, table: Hashed) -> tuple[float, f
     return inside / max(1, signs - digits if digits < 0.3 * signs else signs), distinct
 
 
+def says_nothing(text: str, share: float, pairs: float) -> bool:
+    """Whether a block only repeats, or has neither known words nor the short words of a language."""
+    if pairs < DISTINCT_SHARE:
+        return True
+    words = WORD.findall(text.casefold()) if share < KNOWN_SHARE else []
+    return share < KNOWN_SHARE and sum(w in FORM_WORDS for w in words) <= FORM_SHARE * len(words)
+
+
 def labelled_body(pages: DataFrame) -> DataFrame:
     """Main bodies with the language their label names (`und` for none)."""
     return materialize(main_body(pages.withColumn("lang", F.coalesce(language_code(F.col("meta_language")), F.lit("und"))), ["lang"]), "body")
@@ -164,6 +202,7 @@ def page_statistics(body: DataFrame) -> DataFrame:
         out: dict[str, list] = {k: [] for k in names}
         for page, lang, no, lines in zip(c["page_id"], c["lang"], c["body_no"], c["body"]):
             m = Measures(no, lines)
+            words_known = known.value.get(lang, known.value[""])
             text = "\n".join(m.text)
             words = WORD.findall(text.casefold())
             signs = max(1, sum(map(len, text.split())))
@@ -172,11 +211,11 @@ def page_statistics(body: DataFrame) -> DataFrame:
             common = distinct = 0.0
             weight = 0
             for block in m.text:
-                share, pairs = junk_measures(block, known.value, table)
+                share, pairs = junk_measures(block, words_known, table)
                 common += share * len(block)
                 distinct += pairs * len(block)
                 weight += len(block)
-                if len(block) >= 20 and (share < KNOWN_SHARE or pairs < DISTINCT_SHARE):
+                if len(block) >= 20 and says_nothing(block, share, pairs):
                     junk += len(block)
             chars = max(1, m.chars)
             row = (
@@ -221,7 +260,7 @@ def page_quality(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
     kind = (
         F.when(F.col("list_share") > 0.5, "list")
         .when(F.col("table_share") > 0.5, "table")
-        .when((F.col("junk_share") > 0.5) & (F.col("junk_share") * F.col("n_chars") >= MIN_JUNK) & (F.col("outlier_score") >= MIN_SCORE), "junk")
+        .when((F.col("junk_share") > 0.5) & (F.col("junk_share") * F.col("n_chars") >= MIN_JUNK), "junk")
         .otherwise("prose")
     )
     return stats.join(score, "page_id").withColumn("text_class", kind)

@@ -100,6 +100,18 @@ def test_quality(spark, pages):
     assert quality.found(pages.limit(0)).count() == 0
 
 
+def test_junk_that_is_common_or_in_a_small_group(spark, pages):
+    rng = np.random.default_rng(2)
+    noise = lambda: "\n".join("".join(rng.choice(list("bcdfgkq zx"), 60)) + "." for _ in range(8))
+    one = noise()
+    odd = [page(400 + k, one, site=f"s{k}.example") for k in range(15)] + [page(450, noise(), lang="it"), page(451, noise(), lang=None)]
+    odd += [page(460, "\n\n".join(GERMAN), lang="de"), page(461, "\n\n".join(GERMAN[::-1]), lang=None)]  # prose of a rare language stays prose
+    got = {r["page_id"]: r["text_class"] for r in quality.found(pages.unionByName(spark.createDataFrame(odd, SCHEMA))).collect()}
+    assert got == {k: "junk" for k in (*range(400, 415), 450, 451)}
+    alone = spark.createDataFrame([page(460, "\n\n".join(GERMAN), lang="de"), page(450, one, lang="it")], SCHEMA)
+    assert [tuple(r) for r in quality.found(alone).collect()] == [(450, "junk")]
+
+
 def test_residue(spark, pages):
     bad = ["Welcome to {{name}}, the home of {{title}}.", "Order %%price%% today for only __author__.", "Lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor."]
     odd = [page(200 + k, b) for k, b in enumerate(bad)] + [page(300 + k, "We could not find the page you asked for.", site=f"s{k}.example") for k in range(6)]
