@@ -52,6 +52,25 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, hot):
     assert len(got) == len(set(got)) and set(got) == brute_groups(rows, 3, 0.6)
 
 
+@pytest.mark.parametrize("hot", [neardup.HOT, 1])
+def test_links_against_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(neardup, "HOT", hot)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    rng = random.Random(7)
+    base = [rng.choice(WORDS) for _ in range(40)]  # a crowd of near copies, and other records
+    rows = [(i, " ".join(x if rng.random() > 0.03 else rng.choice(WORDS) for x in base)) for i in range(20)]
+    rows += [(100 + i, " ".join(rng.choice(WORDS) for _ in range(30))) for i in range(10)] + [(200, rows[0][1]), (201, None)]
+    sets = {}
+    for i, text in rows:
+        w = (text or "").split()
+        if s := frozenset(zip(*(w[j:] for j in range(3)))):
+            sets[i] = s
+    alike = lambda a, b: len(a & b) >= 0.6 * len(a | b) - 1e-9
+    want = {i: sum(alike(s, o) for o in set(sets.values()) - {s}) for i, s in sets.items()}
+    df = spark.createDataFrame(rows, "version_id bigint, markdown string")
+    assert {r["version_id"]: r["n_links"] for r in neardup.near_duplicate_groups(df, 3, 0.6).collect()} == want and max(want.values()) > 10
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "version_id bigint, markdown string")
     assert neardup.found(df).count() == 0 and neardup.near_duplicate_groups(df).count() == 0
