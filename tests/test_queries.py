@@ -39,6 +39,14 @@ def test_query(spark, sf, duck, name):
     assert rows(got) == rows(want)
 
 
+def test_site_map_keeps_every_address(spark, tmp_path):
+    schema = "page_id bigint, url string, meta_source_url string, scraped_at timestamp, meta_title string"
+    rows = [(i, f"https://a.example/p{i}", None, None, None) for i in range(700)] + [(900, "https://a.example/p3", None, None, "T")]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["position"]: r["title"] for r in QUERIES["map_documents_whole"](spark, str(tmp_path)).collect()}
+    assert got == {i: "T" if i == 3 else None for i in range(700)}
+
+
 def test_text_operators_are_optional():
     import subprocess
     import sys
