@@ -9,6 +9,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnloom.functions.text import levenshtein_similarity
+
+
+def similarity_verdict(pairs: DataFrame, group: str, similar: float = 0.85, enough: float = 0.7, most_failed: float = 0.5) -> DataFrame:
+    """group, n_similar, n_different, n_failed, verdict of pairs (group, gold, other) by Levenshtein similarity of whole texts.
+
+    A pair without gold text failed and one without other text differs (NULL or empty). Uncertain where more than
+    most_failed of the pairs failed or none can be compared; else TlsClientOk where at least `enough` of the others are similar.
+    """
+    failed = F.coalesce(F.col("gold") == "", F.lit(True))
+    alike = ~failed & F.coalesce((F.col("other") != "") & (levenshtein_similarity(F.col("gold"), F.col("other")) >= similar), F.lit(False))
+    counts = pairs.groupBy(group).agg(F.count_if(alike).alias("n_similar"), F.count_if(~failed & ~alike).alias("n_different"), F.count_if(failed).alias("n_failed"))
+    compared = F.col("n_similar") + F.col("n_different")
+    verdict = (
+        F.when((F.col("n_failed") / (compared + F.col("n_failed")) > most_failed) | (compared == 0), "Uncertain")
+        .when(F.col("n_similar") >= enough * compared - 1e-9, "TlsClientOk")
+        .otherwise("ChromeCdpRequired")
+    )
+    return counts.withColumn("verdict", verdict)
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)

@@ -108,16 +108,24 @@ def _url_rank(spark, d):
 
 
 def _nearest_items(spark, d):
-    """Levenshtein similarity of each benchmark item's first 60 ASCII signs with the three next items."""
+    """Levenshtein similarity of each benchmark item's first 60 ASCII signs with the next item's, as its SQL states it; whole texts: levenshtein_verdict."""
     b = table(spark, d, "benchmark").select("item_id", F.regexp_replace(F.substring("text", 1, 60), r"[^\x20-\x7e]", "").alias("t"))
     w = Window.orderBy("item_id")  # a fixed table of 200 rows
     return b.select("item_id", F.round(X.levenshtein_similarity(F.col("t"), F.coalesce(F.lead("t").over(w), F.lit(""))), 6).alias("similarity"))
 
 
+def _verdict(spark, d):
+    """Whole text of each benchmark item against the three next items. No SQL: DuckDB's distance counts bytes, not signs."""
+    w = Window.orderBy("item_id")  # a fixed table of 200 rows
+    nexts = F.array(*(F.struct(F.lead("item_id", k).over(w).alias("id"), F.lead("text", k).over(w).alias("other")) for k in (1, 2, 3)))
+    pairs = table(spark, d, "benchmark").select("item_id", F.col("text").alias("gold"), nexts.alias("n")).select("item_id", "gold", F.explode("n").alias("x")).where("x.id is not null")
+    return R.similarity_verdict(pairs.select("item_id", "gold", "x.other"), "item_id")
+
+
 QUERIES = {
     "doc_chunks": _chunks, "doc_slugs": _slugs, "doc_clean": _clean, "record_search": _search, "quality_gate": _quality_gate, "exact_copies": _exact_copies, "source_summary": _source_summary,
     "labelled_twice": _labelled_twice, "subject_names": _names, "unique_names": _unique_names, "entity_long_tail": _long_tail, "vector_topk_l2": _vector_top, "vector_cosine": _vector_cosine,
-    "vector_centroids": _centroids, "term_cosine_rank": _url_rank, "levenshtein_neighbours": _nearest_items,
+    "vector_centroids": _centroids, "term_cosine_rank": _url_rank, "levenshtein_neighbours": _nearest_items, "levenshtein_verdict": _verdict,
 }
 _DOT = "list_dot_product(a::DOUBLE[], b::DOUBLE[])"
 SQL = {

@@ -176,3 +176,42 @@ def test_assembled(spark):
     ts = spark.createDataFrame([("e", 1, "A", "c", "def verify", None), ("e", 2, "B", "c", "nothing", None)], "env_id string, seq int, title string, content string, verification string, error string")
     docs = {r["env_id"]: json.loads(r["document"]) for r in tasks.assembled(env, tools, ts).collect()}
     assert docs["e"]["metadata"] == {"n_tools": 1, "n_tasks": 1, "version": "1.2"} and docs["f"]["metadata"]["n_tools"] == 0
+
+
+def test_similarity_verdict_against_brute_force(spark):
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = random.Random(4)
+    head = "x" * 60  # the same beginning says nothing of the whole
+    rows = []
+    for g in range(12):
+        for _ in range(rng.randint(1, 8)):
+            a = head + "".join(rng.choice("abcdé") for _ in range(rng.randint(0, 300)))
+            b = "".join(x if rng.random() > 0.02 * g else rng.choice("qrs") for x in a)
+            rows.append((g, rng.choice([a] * 6 + [None, ""]), rng.choice([b] * 8 + [None, ""])))
+    rows += [(50, None, "a"), (51, "a", None), (52, head + "a" * 100, head + "b" * 100)]
+    want = {}
+    for g in {r[0] for r in rows}:
+        own = [(a, b) for k, a, b in rows if k == g]
+        tried = [(a, b) for a, b in own if a]
+        ok = sum(bool(b) and 1 - distance(a, b) / max(len(a.encode()), len(b.encode())) >= 0.85 for a, b in tried)
+        failed = len(own) - len(tried)
+        want[g] = (ok, len(tried) - ok, failed, "Uncertain" if failed > 0.5 * len(own) or not tried else "TlsClientOk" if ok / len(tried) >= 0.7 else "ChromeCdpRequired")
+    df = spark.createDataFrame(rows, "g int, gold string, other string")
+    assert {r[0]: tuple(r)[1:] for r in ranking.similarity_verdict(df, "g").collect()} == want and len({v[3] for v in want.values()}) == 3
+
+
+def test_verdict_of_whole_items(spark, tmp_path):
+    from tarnloom.plans import registry
+
+    same = "x" * 60
+    rows = [(1, same + "a" * 100), (2, same + "a" * 99 + "b"), (3, same + "a" * 99 + "c"), (4, same + "a" * 99 + "d"), (5, same + "z" * 100)]
+    spark.createDataFrame(rows, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r[0]: tuple(r)[1:] for r in registry.queries()["levenshtein_verdict"](spark, str(tmp_path)).collect()}
+    assert got == {1: (3, 0, 0, "TlsClientOk"), 2: (2, 1, 0, "ChromeCdpRequired"), 3: (1, 1, 0, "ChromeCdpRequired"), 4: (0, 1, 0, "ChromeCdpRequired")}
