@@ -114,3 +114,85 @@ def split_patch(diff: Column) -> Column:
 def levenshtein_similarity(a: Column, b: Column) -> Column:
     most = F.greatest(F.octet_length(a), F.octet_length(b))
     return F.when(most == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / most)
+
+
+#: Classes and ids of boxes of a wiki page that are no text, and headings behind which its text ends.
+WIKI_BOXES = (
+    ("div", "class", "navbox"), ("table", "class", "infobox"), ("table", "class", "ambox"), ("div", "class", "reflist"), ("div", "class", "printfooter"), ("div", "class", "mw-authority-control"),
+    ("div", "id", "catlinks"), ("div", "class", "portal"), ("div", "class", "hatnote"), ("div", "class", "sidebar"),
+)
+WIKI_ENDS = ("See also", "References", "Notes", "External links", "Further reading", "参见", "参考文献", "注释", "外部链接", "相关条目")
+WIKI_END_STARTS = ("Category:", "Portal:", "Index of", "vte")
+
+
+def unescaped(text: Column) -> Column:
+    """The named and numbered characters that text of pages mostly has."""
+    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+
+
+def wiki_text(html: Column) -> Column:
+    """Running text of a wiki page: without boxes, markup, references, coordinates and addresses, up to the first closing heading."""
+    s = html
+    for tag, attribute, value in WIKI_BOXES:
+        s = F.regexp_replace(s, rf'(?s)<{tag}[^>]*{attribute}="[^"]*{value}[^"]*"[^>]*>.*?</{tag}>', "")
+    s = F.regexp_replace(unescaped(F.regexp_replace(s, r"<[^>]+>", "")), r"\[[^\n]*?\]", "")
+    end = "(?im)^(?:" + "|".join([*(rf"{x}\s*$" for x in WIKI_ENDS), *WIKI_END_STARTS]) + ")"
+    s = F.element_at(F.split(s, end, 2), 1)
+    for pattern, into in ((r"(?s)\.mw-parser-output.*\{.*?\}", ""), (r"\d+°\d+′[\d.]+″[NSEW].*?/\s*.*?°[NSEW]\s*[\d.]+°[NSEW]", ""), (r"https?://\S+", ""), (r"\n\s*\n", "\n\n"), (r" +", " "), (r"^\s+|\s+$", "")):
+        s = F.regexp_replace(s, pattern, into)
+    return s
+
+
+def tool_prefix(path: Column) -> Column:
+    """Name of a data file for tools: at most the first three and the last words of its stem; never a digit first; 'data' for nothing."""
+    stem = F.regexp_replace(F.element_at(F.split(F.regexp_replace(path, r"^data/", ""), "/"), -1), r"(?<=.)\.[^.]*$", "")
+    words = F.filter(F.split(stem, r"[^a-zA-Z0-9]+"), lambda w: w != "")
+    short = F.when(F.size(words) > 4, F.concat(F.slice(words, 1, 3), F.slice(words, -1, 1))).otherwise(words)
+    name = F.lower(F.array_join(short, "_"))
+    return F.when(name == "", "data").when(name.rlike(r"^\d"), F.concat(F.lit("data_"), name)).otherwise(name)
+
+
+def trimmed_to_budget(text: Column, tokens: int, signs_a_token: float = 3.0) -> Column:
+    """The text, cut to as many signs as the tokens are worth where its own estimate exceeds them."""
+    return F.when(token_estimate(text) > tokens, F.substring(text, 1, int(tokens * signs_a_token))).otherwise(text)
+
+
+def code_blocks(text: Column) -> Column:
+    """Contents of the fenced blocks in order."""
+    return F.transform(F.regexp_extract_all(text, F.lit(r"```[\w-]*[ \t]*\n([\s\S]*?)```"), F.lit(1)), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+
+
+def source_list(results: Column) -> Column:
+    """Numbered sources of results (title, url, summary); those without a title are left out, their numbers too."""
+    entry = lambda r, i: F.when(F.coalesce(r["title"], F.lit("")) != "", F.concat(F.lit("Source ["), (i + 1).cast("string"), F.lit("]:\nTitle: "), r["title"], F.lit("\nURL: "), F.coalesce(r["url"], F.lit("No URL")), F.lit("\nSummary: "), F.coalesce(r["summary"], F.lit("No Summary")), F.lit("\n")))
+    body = F.array_join(F.filter(F.transform(results, entry), lambda x: x.isNotNull()), "")
+    return F.when(body == "", "Empty search results\n").otherwise(F.concat(F.lit("Here are the search results/documents:\n\n"), body))
+
+
+def split_pages(text: Column, marker: str = r"<\|[^|]*-page-\d+-lllmstxt\|>\n?") -> Column:
+    """Pages of a text that markers part; what stands before the first marker is no page."""
+    parts = F.split(text, marker)
+    return F.slice(parts, F.lit(2), F.size(parts))
+
+
+def without_markers(text: Column, marker: str = r"<\|[^|]*-page-\d+-lllmstxt\|>\n?") -> Column:
+    return F.regexp_replace(text, marker, "")
+
+
+def document_text(markdown: Column, metadata: Column, most: int = 250) -> Column:
+    """Markdown followed by its metadata (a map), each value cut to `most` signs."""
+    lines = F.transform(F.array_sort(F.map_entries(metadata)), lambda e: F.concat(e["key"], F.lit(": "), F.substring(F.coalesce(e["value"], F.lit("undefined")), 1, most)))
+    return F.concat(markdown, F.lit("\n- - - - - Page metadata - - - - -\n"), F.array_join(lines, "\n"))
+
+
+def inner_json(html: Column) -> Column:
+    """Text of a page's body, which for a viewer of JSON is the JSON."""
+    body = F.regexp_extract(html, r"(?is)<body[^>]*>(.*?)(?:</body>|$)", 1)
+    return F.regexp_replace(unescaped(F.regexp_replace(F.when(body == "", html).otherwise(body), r"<[^>]+>", "")), r"^\s+|\s+$", "")
+
+
+def json_as_markdown(content_type: Column, raw: Column, markdown: Column) -> Column:
+    """A fenced block for pages that are JSON, else their markdown."""
+    return F.when(F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit("application/json")), F.concat(F.lit("```json\n"), raw, F.lit("\n```"))).otherwise(markdown)

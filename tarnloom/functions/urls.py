@@ -230,3 +230,14 @@ def resolve(href: Column, base: Column) -> Column:
         .when(F.startswith(h, F.lit("?")), F.concat(root, path(base), h))
         .otherwise(climbed)
     )
+
+
+def same_subdomain(u: Column, v: Column) -> Column:
+    """Same domain and the same labels before it, www apart."""
+    before = lambda x: F.regexp_replace(plain_host(x), r"\.?[^.]+\.[^.]+$", "")
+    return same_last_labels(u, v) & (before(u) == before(v))
+
+
+def adjusted_depth(base: Column, most: Column) -> Column:
+    """A crawl's depth limit, counted from the root instead of from its base address."""
+    return depth(base) + most

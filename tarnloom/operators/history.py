@@ -52,10 +52,20 @@ def within_interval(events: DataFrame, facts: DataFrame, key: str, at: str, time
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 
 
-def take_while(rows: DataFrame, key: str | None, order: list[str], condition: Column) -> DataFrame:
-    """Rows before the first that fails the condition, per key, in order; a NULL condition fails."""
-    w = (Window.partitionBy(key) if key else Window.partitionBy(F.lit(0))).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    failed = F.max(F.when(F.coalesce(condition, F.lit(False)), 0).otherwise(1)).over(w)
+def take_while(rows: DataFrame, key: str | None, order: list[str], condition: Column, with_crossing: bool = False) -> DataFrame:
+    """Rows before the first that fails the condition, per key, in order; a NULL condition fails.
+
+    With with_crossing the row that fails first is kept too. Without a key the first failing place is found by an
+    aggregate, so no task sorts all rows.
+    """
+    fails = ~F.coalesce(condition, F.lit(False))
+    if key is None:
+        place = F.struct(*order)
+        first = rows.agg(F.min(F.when(fails, place)).alias("_f"))  # one row
+        before = place <= F.col("_f") if with_crossing else place < F.col("_f")
+        return rows.crossJoin(F.broadcast(first)).where(F.col("_f").isNull() | before).drop("_f")
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if with_crossing else 0)
+    failed = F.coalesce(F.max(fails.cast("int")).over(w), F.lit(0))
     return rows.withColumn("_f", failed).where("_f = 0").drop("_f")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tarnloom.functions import codecheck
 from tarnloom.operators.html import map_columns
 
-WEIGHTS = {"correctness": 0.4, "complexity": 0.25, "diversity": 0.2, "verifiability": 0.15}
+WEIGHTS = {"correctness": 0.4, "complexity": 0.25, "diversity": 0.2, "solution_verifiability": 0.15}
 
 
 def score(value: Column) -> Column:
@@ -17,16 +17,18 @@ def score(value: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), number))
 
 
-def composite(*, prefix: str = "") -> Column:
+def composite(*, prefix: str = "", columns: dict[str, str] | None = None) -> Column:
+    """Weighted sum of the criteria; columns names those that are held under another name."""
     total = F.lit(0.0)
     for name, weight in WEIGHTS.items():
-        total = total + score(F.col(prefix + name)) * F.lit(weight)
+        total = total + score(F.col(prefix + (columns or {}).get(name, name))) * F.lit(weight)
     return F.round(total, 6)
 
 
 def ranked(tasks: DataFrame, seq: str = "seq") -> DataFrame:
     """tasks with composite and rank 1..n (best first, then seq); exact ranks by counting equal scores, not by one sorted partition."""
-    scored = tasks.withColumn("composite", composite())
+    short = {n: n.removeprefix("solution_") for n in WEIGHTS if n not in tasks.columns}
+    scored = tasks.withColumn("composite", composite(columns=short))
     levels = scored.groupBy("composite").agg(F.count("*").alias("n"))  # at most as many as distinct scores
     above = levels.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("composite")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     w = Window.partitionBy("composite").orderBy(seq)

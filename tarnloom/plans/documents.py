@@ -108,8 +108,8 @@ def _url_rank(spark, d):
 
 
 def _nearest_items(spark, d):
-    """Levenshtein similarity of each benchmark item's first 60 ASCII signs with the next item's, as its SQL states it; whole texts: levenshtein_verdict."""
-    b = table(spark, d, "benchmark").select("item_id", F.regexp_replace(F.substring("text", 1, 60), r"[^\x20-\x7e]", "").alias("t"))
+    """Levenshtein similarity of each benchmark item's ASCII signs with the next item's (DuckDB's distance counts bytes); all signs: levenshtein_verdict."""
+    b = table(spark, d, "benchmark").select("item_id", F.regexp_replace("text", r"[^\x20-\x7e]", "").alias("t"))
     w = Window.orderBy("item_id")  # a fixed table of 200 rows
     return b.select("item_id", F.round(X.levenshtein_similarity(F.col("t"), F.coalesce(F.lead("t").over(w), F.lit(""))), 6).alias("similarity"))
 
@@ -144,5 +144,5 @@ SQL = {
     "vector_cosine": f"WITH q AS (SELECT embedding AS b FROM embeddings ORDER BY vec_id LIMIT 1), p AS (SELECT vec_id, embedding AS a, b FROM embeddings, q) SELECT vec_id, round({_DOT} / (sqrt(list_dot_product(a::DOUBLE[], a::DOUBLE[])) * sqrt(list_dot_product(b::DOUBLE[], b::DOUBLE[]))), 6) AS score FROM p",
     "vector_centroids": "WITH e AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) SELECT label, i::INT AS i, round(avg(x::DOUBLE), 6) AS mean FROM e GROUP BY label, i",
     "term_cosine_rank": "WITH c AS (SELECT doc_id, len(string_split(lower(source_url), 'shop')) - 1.0 AS s, len(string_split(lower(source_url), 'wiki')) - 1.0 AS w FROM documents WHERE source_url IS NOT NULL) SELECT doc_id, round((2 * s + w) / (sqrt(s * s + w * w) * sqrt(5.0)), 6) AS score FROM c WHERE s + w > 0",
-    "levenshtein_neighbours": r"WITH b AS (SELECT item_id, regexp_replace(substring(text, 1, 60), '[^\x20-\x7e]', '', 'g') AS t FROM benchmark), n AS (SELECT item_id, t, coalesce(lead(t) OVER (ORDER BY item_id), '') AS u FROM b) SELECT item_id, round(CASE WHEN greatest(strlen(t), strlen(u)) = 0 THEN 1.0 ELSE 1 - levenshtein(t, u) / greatest(strlen(t), strlen(u)) END, 6) AS similarity FROM n",
+    "levenshtein_neighbours": r"WITH b AS (SELECT item_id, regexp_replace(text, '[^\x20-\x7e]', '', 'g') AS t FROM benchmark), n AS (SELECT item_id, t, coalesce(lead(t) OVER (ORDER BY item_id), '') AS u FROM b) SELECT item_id, round(CASE WHEN greatest(strlen(t), strlen(u)) = 0 THEN 1.0 ELSE 1 - levenshtein(t, u) / greatest(strlen(t), strlen(u)) END, 6) AS similarity FROM n",
 }

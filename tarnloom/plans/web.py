@@ -157,14 +157,9 @@ def _map_documents_whole(spark, d):
     return rows.groupBy("key").agg(F.min("page_id").alias("position"), F.min(best)["meta_title"].alias("title"))
 
 
-def _map_documents(spark, d):
-    """The first 500 addresses of map_documents_whole, as its SQL states them."""
-    return _map_documents_whole(spark, d).orderBy("position").limit(500)
-
-
 _MAP = rf"""WITH k AS (SELECT CASE WHEN trim(url) = '' THEN '' ELSE (CASE WHEN {_SCH} = '' THEN 'https' ELSE {_SCH} END) || '://' || lower({_AUTH}) || (CASE WHEN {_P1} = '/' THEN {_P1} ELSE regexp_replace({_P1}, '/$', '') END) END AS key, page_id, scraped_at, meta_title FROM pages WHERE url IS NOT NULL),
 t AS (SELECT key, meta_title, row_number() OVER (PARTITION BY key ORDER BY meta_title IS NULL, page_id, scraped_at, meta_title) AS n, min(page_id) OVER (PARTITION BY key) AS position FROM k)
-SELECT key, position, meta_title AS title FROM t WHERE n = 1 ORDER BY position LIMIT 500"""
+SELECT key, position, meta_title AS title FROM t WHERE n = 1"""
 
 
 def _first_wins(spark, d):
@@ -210,12 +205,12 @@ SELECT node, min(depth)::INT AS depth FROM w GROUP BY node"""
 
 QUERIES = {
     "url_keys": _url_keys, "url_splits": _url_splits, "domain_levels": _domain_levels, "link_denials": _link_denials, "domain_frequency": _domain_frequency, "top_domains": _top_domains,
-    "domain_stats": _domain_stats, "prefer_https": _prefer_https, "map_documents": _map_documents, "map_documents_whole": _map_documents_whole, "record_first_wins": _first_wins, "page_links": _page_links, "crawl_frontier": _frontier,
+    "domain_stats": _domain_stats, "prefer_https": _prefer_https, "map_documents_whole": _map_documents_whole, "record_first_wins": _first_wins, "page_links": _page_links, "crawl_frontier": _frontier,
 }
 _FREQ = f"SELECT {_PH} AS domain, count(*) AS frequency FROM pages WHERE url IS NOT NULL GROUP BY 1"
 SQL = {
     "url_keys": _URL_KEYS, "url_splits": _URL_SPLITS, "domain_levels": _DOMAIN_LEVELS, "link_denials": _LINK_DENIALS, "domain_frequency": _FREQ,
     "top_domains": f"SELECT * FROM ({_FREQ}) ORDER BY frequency DESC, domain LIMIT 20",
     "domain_stats": f"SELECT count(*) AS total_domains, sum(frequency)::BIGINT AS total_requests, round(avg(frequency))::BIGINT AS average_requests FROM ({_FREQ})",
-    "prefer_https": _PREFER, "map_documents": _MAP, "map_documents_whole": _MAP.removesuffix(" ORDER BY position LIMIT 500"), "record_first_wins": _FIRST, "page_links": _PAGE_LINKS, "crawl_frontier": _FRONTIER,
+    "prefer_https": _PREFER, "map_documents_whole": _MAP, "record_first_wins": _FIRST, "page_links": _PAGE_LINKS, "crawl_frontier": _FRONTIER,
 }
