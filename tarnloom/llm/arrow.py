@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -43,3 +44,9 @@ class Hashed(dict):
             self.clear()
         value = self[word] = crc32(word.encode()) & self.mask
         return value
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; np.unique hashes numbers, which takes many times as long."""
+    x = np.sort(x)
+    return x[np.flatnonzero(np.concatenate((np.ones(min(1, len(x)), bool), x[1:] != x[:-1])))]

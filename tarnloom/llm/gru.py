@@ -7,19 +7,30 @@ import numpy as np
 CHUNK = 128  # bytes in a window
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _squash(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|): saturates as tanh does, at the cost of a division."""
+    return x / (1 + np.abs(x))
+
+
+def _gate(x: np.ndarray) -> np.ndarray:
+    return 0.5 * _squash(x) + 0.5
+
+
+def _slope(s: np.ndarray) -> np.ndarray:
+    """Derivative of _squash where its value is s."""
+    return (1 - np.abs(s)) ** 2
 
 
 class ByteGRU:
-    """Per direction: input table (256, 3H), recurrent matrix (H, 3H), bias of the candidate's recurrent part; one output layer."""
+    """Per gate (update, reset, candidate) and direction: input table (256, H), recurrent matrix (H, H); bias of the
+    candidate's recurrent part; one output layer. Gates and candidate squash by x / (1 + |x|)."""
 
     def __init__(self, classes: int, hidden: int = 16, seed: int = 0):
         rng = np.random.default_rng(seed)
         self.h, self.k = hidden, classes
         scale = 1 / np.sqrt(hidden)
-        self.x = rng.normal(0, 0.3, (2, 256, 3 * hidden)).astype(np.float32)
-        self.u = rng.uniform(-scale, scale, (2, hidden, 3 * hidden)).astype(np.float32)
+        self.x = rng.normal(0, 0.3, (3, 2, 256, hidden)).astype(np.float32)
+        self.u = rng.uniform(-scale, scale, (3, 2, hidden, hidden)).astype(np.float32)
         self.b = np.zeros((2, 1, hidden), np.float32)
         self.v = rng.uniform(-scale, scale, (2 * hidden, classes)).astype(np.float32)
         self.c = np.zeros(classes, np.float32)
@@ -35,12 +46,11 @@ class ByteGRU:
         out = np.empty((steps, n, 2 * self.h), np.float32)
         k = self.h
         for t in range(steps):
-            xt = np.stack((self.x[0][data[:, t]], self.x[1][data[:, steps - 1 - t]]))
+            xt = np.stack((self.x[:, 0, data[:, t]], self.x[:, 1, data[:, steps - 1 - t]]), 1)
             g = np.matmul(h, self.u)
-            zr = _sigmoid(xt[:, :, : 2 * k] + g[:, :, : 2 * k])
-            z, r = zr[:, :, :k], zr[:, :, k:]
-            gn = g[:, :, 2 * k :] + self.b
-            cand = np.tanh(xt[:, :, 2 * k :] + r * gn)
+            z, r = _gate(xt[:2] + g[:2])
+            gn = g[2] + self.b
+            cand = _squash(xt[2] + r * gn)
             if cache is not None:
                 cache.append((h, z, r, gn, cand))
             h = cand + z * (h - cand)
@@ -48,48 +58,55 @@ class ByteGRU:
             out[steps - 1 - t, :, k:] = h[1]
         return out
 
-    def probabilities(self, data: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """(B, classes): the probabilities of every position, summed over those that the mask counts.
+    def positions(self, data: np.ndarray) -> np.ndarray:
+        """(T, B, classes): the probabilities of every position of windows (B, T).
 
-        Both directions run side by side in buffers that stay in the processor's cache: a window's bytes pick rows of
-        the input table, gates and candidate share one product with the state.
+        Both directions and all gates run side by side in buffers that stay in the processor's cache.
         """
         n, steps = data.shape
         k = self.h
-        rows = np.empty((2, steps, n), np.intp)
-        rows[0] = data.T
-        rows[1] = data.T[::-1]
-        rows[1] += 256
-        table = self.x.reshape(512, 3 * k).copy()
-        table[:, : 2 * k] *= 0.5  # sigmoid(x) = (1 + tanh(x / 2)) / 2
-        u = self.u.copy()
-        u[:, :, : 2 * k] *= 0.5
+        rows = np.empty((steps, 2, n), np.intp)
+        rows[:, 0] = data.T
+        rows[:, 1] = data.T[::-1]
+        rows[:, 1] += 256
+        base = (512 * np.arange(3))[:, None, None]
+        table = np.ascontiguousarray(self.x.reshape(1536, k))
         h = np.zeros((2, n, k), np.float32)
-        xt, g = np.empty((2, n, 3 * k), np.float32), np.empty((2, n, 3 * k), np.float32)
+        at = np.empty((3, 2, n), np.intp)
+        xt, g, d = (np.empty((3, 2, n, k), np.float32) for _ in range(3))
         out = np.empty((steps, n, 2 * k), np.float32)
-        zr, cand = np.empty((2, n, 2 * k), np.float32), np.empty((2, n, k), np.float32)
+        zr, cand, gn, dc = xt[:2], xt[2], g[2], d[2]
         for t in range(steps):
-            np.take(table, rows[:, t], axis=0, out=xt, mode="clip")
-            np.matmul(h, u, out=g)
-            np.add(xt[:, :, : 2 * k], g[:, :, : 2 * k], out=zr)
-            np.tanh(zr, out=zr)
+            np.add(base, rows[t], out=at)
+            np.take(table, at, axis=0, out=xt, mode="clip")
+            np.matmul(h, self.u, out=g)
+            zr += g[:2]
+            np.abs(zr, out=d[:2])
+            d[:2] += 1
+            zr /= d[:2]
             zr += 1
             zr *= 0.5
-            np.add(g[:, :, 2 * k :], self.b, out=cand)
-            cand *= zr[:, :, k:]
-            cand += xt[:, :, 2 * k :]
-            np.tanh(cand, out=cand)
+            gn += self.b
+            gn *= zr[1]
+            cand += gn
+            np.abs(cand, out=dc)
+            dc += 1
+            cand /= dc
             h -= cand
-            h *= zr[:, :, :k]
+            h *= zr[0]
             h += cand
             out[t, :, :k] = h[0]
             out[steps - 1 - t, :, k:] = h[1]
         logits = out.reshape(-1, 2 * k) @ self.v + self.c
         np.exp(logits, out=logits)
         logits /= logits.sum(-1, keepdims=True)
-        logits = logits.reshape(steps, n, self.k)
-        logits *= mask.T[:, :, None]
-        return logits.sum(0)
+        return logits.reshape(steps, n, self.k)
+
+    def probabilities(self, data: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """(B, classes): the probabilities of every position, summed over those that the mask counts."""
+        p = self.positions(data)
+        p *= mask.T[:, :, None]
+        return p.sum(0)
 
     def gradients(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray) -> tuple[float, list[np.ndarray]]:
         n, steps = data.shape
@@ -111,20 +128,26 @@ class ByteGRU:
         ds = d @ self.v.T
         gx, gu, gb = np.zeros_like(self.x), np.zeros_like(self.u), np.zeros_like(self.b)
         dh = np.zeros((2, n, k), np.float32)
+        dx = np.empty((2, steps, n, 3, k), np.float32)  # by direction and place of the byte
         for t in range(steps - 1, -1, -1):
             h, z, r, gn, cand = cache[t]
             dh = dh + np.stack((ds[t, :, :k], ds[steps - 1 - t, :, k:]))
-            dcand = dh * (1 - z) * (1 - cand * cand)
-            dz = dh * (h - cand) * z * (1 - z)
-            dr = dcand * gn * r * (1 - r)
+            dcand = dh * (1 - z) * _slope(cand)
+            dz = dh * (h - cand) * 0.5 * _slope(2 * z - 1)
+            dr = dcand * gn * 0.5 * _slope(2 * r - 1)
             dgn = dcand * r
-            dxt = np.concatenate((dz, dr, dcand), -1)
-            dg = np.concatenate((dz, dr, dgn), -1)
+            dxt = np.stack((dz, dr, dcand))
+            dg = np.stack((dz, dr, dgn))
             gu += np.matmul(h.transpose(0, 2, 1), dg)
             gb += dgn.sum(1, keepdims=True)
-            np.add.at(gx[0], data[:, t], dxt[0])
-            np.add.at(gx[1], data[:, steps - 1 - t], dxt[1])
-            dh = dh * z + np.matmul(dg, self.u.transpose(0, 2, 1))
+            dx[0, t], dx[1, steps - 1 - t] = dxt[:, 0].transpose(1, 0, 2), dxt[:, 1].transpose(1, 0, 2)
+            dh = dh * z + np.matmul(dg, self.u.transpose(0, 1, 3, 2)).sum(0)
+        byte = data.T.ravel()
+        order = np.argsort(byte, kind="stable")
+        first = np.flatnonzero(np.diff(byte[order].astype(np.int64), prepend=-1))
+        for way in (0, 1):
+            rows = dx[way].reshape(steps * n, 3, k)[order]
+            gx[:, way, byte[order][first]] = np.add.reduceat(rows, first, axis=0).transpose(1, 0, 2)
         return loss, [gx, gu, gb, gv, gc]
 
     def train(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray, steps: int = 300, batch: int = 96, rate: float = 0.02, seed: int = 0) -> list[float]:
@@ -138,14 +161,14 @@ class ByteGRU:
             at = np.concatenate([rng.choice(r, max(1, batch // len(rows))) for r in rows])
             loss, grads = self.gradients(data[at], label[at], mask[at])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
-            lr = rate * min(1.0, 1.5 - i / steps)
+            lr = rate * min(1.0, 2.02 - 2 * i / steps)
             for p, g, a, b in zip(self.parts, grads, m, w):
                 g = g * min(1.0, 1.0 / max(norm, 1e-9))
                 a *= 0.9
                 a += 0.1 * g
                 b *= 0.99
                 b += 0.01 * g * g
-                p -= (lr * (a / (1 - 0.9**i)) / (np.sqrt(b / (1 - 0.99**i)) + 1e-8)).astype(np.float32)
+                p -= (lr * (a / (1 - 0.9**i)) / (np.sqrt(b / (1 - 0.99**i)) + 1e-5)).astype(np.float32)
             losses.append(loss)
         return losses
 

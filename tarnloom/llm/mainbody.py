@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnloom.llm.arrow import Hashed, map_rows
+from tarnloom.llm.arrow import Hashed, distinct, map_rows
 from tarnloom.llm.tagpaths import LINK_TARGET, page_lines
 from tarnloom.session import materialize
 
@@ -31,13 +31,17 @@ SHORT = 250  # characters up to which words may turn a plain paragraph into boil
 CAP = 3.0  # of one feature's log-odds
 
 WORD = re.compile(r"[^\W\d_]+|\d+")
+WORD_OR_END = re.compile(r"[^\W\d_]+|\d+|\n")
 LINK_LINE = re.compile(r"^\s*(?:[-*•]\s*)?!?\[[^\]]*\]\([^()\s]*\)")
 
 
 class LineWords(Hashed):
-    """Hashed words; digits count as one word."""
+    """Hashed words; digits count as one word, a line's end is -1."""
 
     def __missing__(self, word: str) -> int:
+        if word == "\n":
+            self[word] = -1
+            return -1
         if word[0] <= "9":
             word = "0"
             if "0" in self:
@@ -48,7 +52,17 @@ class LineWords(Hashed):
 def line_words(text: str, table: LineWords) -> list[int]:
     if "](" in text:
         text = LINK_TARGET.sub("]", text)
-    return [table[w] for w in WORD.findall(text.casefold())]
+    return list(map(table.__getitem__, WORD.findall(text.casefold())))
+
+
+def words_of_lines(lines: list[str], table: LineWords) -> list[int]:
+    """line_words of several lines in one pass, -1 after each."""
+    text = "\n".join(lines)
+    if "](" in text:
+        text = LINK_TARGET.sub("]", text)
+    out = list(map(table.__getitem__, WORD_OR_END.findall(text.casefold())))
+    out.append(-1)
+    return out
 
 
 def pair(a, b):
@@ -85,6 +99,7 @@ def word_evidence(lines: DataFrame) -> np.ndarray:
     def count(c: dict[str, list], table: LineWords) -> dict[str, list]:
         ids: tuple[list[int], list[int]] = ([], [])  # boilerplate, content; -1 parts the lines
         for rich, codes, texts in zip(c["rich"], c["code"], c["text"]):
+            chosen: tuple[list[str], list[str]] = ([], [])
             for code, text in zip(codes, texts):
                 content, shape = code // 4 - 1, code % 4
                 if content < 0:
@@ -93,15 +108,17 @@ def word_evidence(lines: DataFrame) -> np.ndarray:
                     continue  # titles of other pages say what content says
                 if content and shape == 2 and rich and len(text) < PARAGRAPH:
                     continue
-                ids[content].extend(line_words(text, table))
-                ids[content].append(-1)
+                chosen[content].append(text)
+            for k in (0, 1):
+                if chosen[k]:
+                    ids[k].extend(words_of_lines(chosen[k], table))
         sums = np.zeros((2, 1 << BITS), np.int64)
         for k in (0, 1):
             x = np.array(ids[k], np.int64)
             line = np.cumsum(x < 0) << BITS
             a, b = x[:-1], x[1:]
             ok = np.flatnonzero((a >= 0) & (b >= 0))
-            once = np.unique(np.concatenate([(line | x)[x >= 0], line[ok] | pair(a[ok], b[ok])]))  # a feature counts once a line
+            once = distinct(np.concatenate([(line | x)[x >= 0], line[ok] | pair(a[ok], b[ok])]))  # a feature counts once a line
             sums[k] += np.bincount(once & ((1 << BITS) - 1), minlength=1 << BITS)
         at = np.nonzero(sums.any(axis=0))[0]
         return {"f": at.tolist(), "b": sums[0, at].tolist(), "c": sums[1, at].tolist()}

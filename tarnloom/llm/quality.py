@@ -2,12 +2,15 @@
 
 1. Over the main body's lines, headings apart, lists and tabular rows are told by their form; the rest is measured:
    words known from sentences of the corpus, repetition of word pairs, symbols, digits, word lengths, line ends.
-2. Each statistic gets its exact rank among all pages of the same language label: distinct values with their counts
-   are range-partitioned and sorted, counted within each partition, and shifted by the counts of the partitions
-   before; ties share a rank.
-3. The empirical tail probabilities are combined into an outlier score (sum of negative logarithms).
-4. The class follows the kind that fills more than half of the characters; text is junk where its words say nothing or
-   only repeat. The score ranks pages and decides no class: it falls as junk becomes common or a language rare.
+2. Each statistic, the shares of the forms among them, gets its exact rank among the reference of its language label:
+   the distinct texts of which no form fills more than half, so that neither copies nor much junk move a rank. Distinct
+   values with their counts are range-partitioned and sorted, counted within each partition, and shifted by the counts
+   of the partitions before; ties share a rank. Values are ranked as measured, neither rounded nor capped.
+3. The empirical tail probabilities are combined into an outlier score (sum of negative logarithms), which is ranked
+   against the scores of the reference in the same way (score_tail).
+4. A page is a case if its score stands out (score_tail at most OUTLYING) and one kind fills more than half of its
+   characters; that kind is its class. Text is junk where its words say nothing or only repeat. A language without any
+   reference has no ordinary score: there all pages stand out.
 
 Defined results: pages with NULL or blank markdown give no row; a main body of headings alone has zero statistics and
 class `prose`; repeated deliveries count once; labels that name no known language form the group `und`; an empty
@@ -18,10 +21,17 @@ and without short words of the five known languages cannot be told from noise an
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tarnloom.llm.arrow import Hashed, map_rows
 from tarnloom.llm.labels import language_code
@@ -29,7 +39,8 @@ from tarnloom.llm.mainbody import main_body
 from tarnloom.session import materialize
 
 BITS = 18
-STATS = ("mean_word_length", "symbol_ratio", "digit_ratio", "end_punct_share", "common_share", "distinct_pairs", "longest_word")
+STATS = ("mean_word_length", "symbol_ratio", "digit_ratio", "end_punct_share", "common_share", "distinct_pairs", "longest_word", "list_share", "table_share", "junk_share")
+OUTLYING = 0.5  # share of the reference that may have an outlier score as high
 KNOWN_SHARE, DISTINCT_SHARE = 0.45, 0.5  # below either, a block says nothing
 # Short words of the five languages, of three letters or more. Text that has FORM_SHARE of them says something
 # even where the table is too small to know its other words.
@@ -47,6 +58,9 @@ ITEM = re.compile(r"\s*(?:[-*•+–‣▪]\s|\(?\d{1,4}[.)]\s|[a-z][.)]\s)")
 PIPES = re.compile(r"^\s*\|.*\|\s*$")
 COLUMNS = (re.compile(r"\t"), re.compile(r";"), re.compile(r" {3,}"), re.compile(r"\s\|\s|^\||\|$"))
 WORD = re.compile(r"[^\W_]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+DIGITS = re.compile(r"\d+")
+SENTENCE = re.compile(r"[.!?…](?:\s|$|[\"'”’»)*_])")
 SENTENCE_END = re.compile(r"[.!?…][\"'”’»)\]*_]*$")
 
 
@@ -91,41 +105,54 @@ def kinds_of(block: list[str]) -> list[str]:
     rows = table_rows(block)
     if sum(rows) >= 0.6 * len(block):
         return ["table"] * len(block)
-    ends = sum(SENTENCE_END.search(x.strip()) is not None for x in block)
-    if len(block) >= 3 and sum(map(len, block[:-1])) / (len(block) - 1) < 45 and ends <= 0.25 * len(block):
+    if len(block) >= 3 and sum(map(len, block[:-1])) / (len(block) - 1) < 45 and sum(SENTENCE_END.search(x.strip()) is not None for x in block) <= 0.25 * len(block):
         return ["list"] * len(block)
     return ["list" if i else "table" if r else "text" for i, r in zip(items, rows)]
 
 
 class Measures:
-    """What one page's main body sums up to."""
+    """What one page's main body sums up to; text holds the blocks that are neither list nor table, paragraphs those of running sentences."""
 
-    __slots__ = ("chars", "list_chars", "table_chars", "text", "lines", "ends", "words")
+    __slots__ = ("chars", "list_chars", "table_chars", "text", "lines", "ends", "paragraphs")
 
     def __init__(self, no: list[int], lines: list[str]):
         self.list_chars = self.table_chars = self.chars = self.lines = self.ends = 0
         self.text: list[str] = []
+        self.paragraphs: list[str] = []
         for block in blocks_of(no, lines):
             text = []
             for line, kind in zip(block, kinds_of(block)):
-                n = len(line.strip())
+                line = line.strip()
+                n = len(line)
                 self.chars += n
                 self.lines += 1
-                self.ends += SENTENCE_END.search(line.strip()) is not None
+                self.ends += SENTENCE_END.search(line) is not None
                 if kind == "list":
                     self.list_chars += n
                 elif kind == "table":
                     self.table_chars += n
                 else:
-                    text.append(line.strip())
+                    text.append(line)
             if text:
-                self.text.append(" ".join(text))
+                joined = " ".join(text)
+                self.text.append(joined)
+                if len(text) * 2 > len(block) and is_running(joined):
+                    self.paragraphs.append(" ".join(joined.split()))
+
+
+def is_running(text: str) -> bool:
+    """Whether a block has a sentence's end and six words."""
+    return SENTENCE.search(text) is not None and next(islice(LETTERS.finditer(text), 5, None), None) is not None
+
+
+def text_key() -> Column:
+    """Hash of a main body without its headings: copies of a text are one witness of its words, and one of the reference."""
+    return F.xxhash64(F.filter("body", lambda x: ~x.rlike(r"^\s*#{1,6}\s")))
 
 
 def distinct_texts(body: DataFrame) -> DataFrame:
-    """One page of those whose main bodies agree but for their headings: copies of a text are one witness of its words."""
-    text = F.filter("body", lambda x: ~x.rlike(r"^\s*#{1,6}\s"))
-    keys = body.select("page_id", F.xxhash64(text).alias("h"))
+    """One page of those whose main bodies agree but for their headings."""
+    keys = body.select("page_id", text_key().alias("h"))
     kept = keys.groupBy("h").agg(F.min("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1").select("h", "kept")
     return body.join(keys.join(kept, "h").where("page_id != kept").select("page_id"), "page_id", "left_anti")
 
@@ -142,8 +169,9 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
                 text = " ".join(x.strip() for x in block)
                 if SENTENCE_END.search(text):
                     found = WORD.findall(text.casefold())
-                    if len(found) >= 6 and len(set(found)) > len(found) // 2:
-                        words.update([table[w] for w in found])
+                    once = set(found)
+                    if len(found) >= 6 and len(once) > len(found) // 2:
+                        words.update(map(table.__getitem__, once))
             if words:
                 at = list(words)
                 for group in ("", lang) if lang != "und" else ("",):
@@ -169,23 +197,33 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
     return {group: known[""] | own for group, own in known.items()}
 
 
-def junk_measures(text: str, known: np.ndarray, table: Hashed) -> tuple[float, float]:
+class KnownLetters(dict):
+    """word → its length if it is known, else 0, remembered; single digits are not known."""
+
+    def __init__(self, known: np.ndarray, table: Hashed):
+        super().__init__()
+        self.known, self.table = known, table
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        value = self[word] = len(word) if self.known[self.table[word]] and (len(word) > 1 or not word.isdigit()) else 0
+        return value
+
+
+def junk_measures(text: str, words: list[str], known: KnownLetters) -> tuple[float, float]:
     """Share of the signs that belong to known words, and of distinct word pairs."""
-    words = WORD.findall(text.casefold())
     signs = sum(map(len, text.split()))
-    inside = sum([len(w) for w in words if known[table[w]] and (len(w) > 1 or not w.isdigit())])
     digits = sum([len(w) for w in words if w.isdigit()])
-    pairs = list(zip(words, words[1:]))
-    distinct = len(set(pairs)) / len(pairs) if len(pairs) >= 8 else 1.0
-    return inside / max(1, signs - digits if digits < 0.3 * signs else signs), distinct
+    distinct = len(set(zip(words, words[1:]))) / (len(words) - 1) if len(words) > 8 else 1.0
+    return sum(map(known.__getitem__, words)) / max(1, signs - digits if digits < 0.3 * signs else signs), distinct
 
 
-def says_nothing(text: str, share: float, pairs: float) -> bool:
+def says_nothing(words: list[str], share: float, pairs: float) -> bool:
     """Whether a block only repeats, or has neither known words nor the short words of a language."""
     if pairs < DISTINCT_SHARE:
         return True
-    words = WORD.findall(text.casefold()) if share < KNOWN_SHARE else []
-    return share < KNOWN_SHARE and sum(w in FORM_WORDS for w in words) <= FORM_SHARE * len(words)
+    return share < KNOWN_SHARE and sum(map(FORM_WORDS.__contains__, words)) <= FORM_SHARE * len(words)
 
 
 def labelled_body(pages: DataFrame) -> DataFrame:
@@ -193,72 +231,123 @@ def labelled_body(pages: DataFrame) -> DataFrame:
     return materialize(main_body(pages.withColumn("lang", F.coalesce(language_code(F.col("meta_language")), F.lit("und"))), ["lang"]), "body")
 
 
-def page_statistics(body: DataFrame) -> DataFrame:
-    """One row of statistics per page, not ranked yet. body: page_id, lang, body_no, body."""
+def page_statistics(body: DataFrame, carry: list[str] = (), paragraphs: bool = False) -> DataFrame:
+    """One row of statistics per page, not ranked yet, with its text_key. body: page_id, lang, body_no, body, and what is carried.
+
+    With `paragraphs`, the blocks of running sentences pass along for operators that read them next.
+    """
+    carry = list(carry)
     known = body.sparkSession.sparkContext.broadcast(known_words(body))
-    names = ("page_id", "lang", "n_chars", "n_words", "n_lines", *STATS, "list_share", "table_share", "junk_share")
+    names = ("page_id", "lang", "text_key", "n_chars", "n_words", "n_lines", *STATS)
 
-    def measure(c: dict[str, list], table: Hashed) -> dict[str, list]:
-        out: dict[str, list] = {k: [] for k in names}
-        for page, lang, no, lines in zip(c["page_id"], c["lang"], c["body_no"], c["body"]):
+    def measure(c: dict[str, list], state: tuple[Hashed, dict[str, KnownLetters]]) -> dict[str, list]:
+        table, letters_of = state
+        out: dict[str, list] = {**{k: [] for k in names}, "paragraphs": [], **{k: c[k] for k in carry}}
+        for page, lang, key, no, lines in zip(c["page_id"], c["lang"], c["text_key"], c["body_no"], c["body"]):
             m = Measures(no, lines)
-            words_known = known.value.get(lang, known.value[""])
-            text = "\n".join(m.text)
-            words = WORD.findall(text.casefold())
-            signs = max(1, sum(map(len, text.split())))
-            letters = sum(map(len, words))
-            junk = 0
+            inside = letters_of.get(lang)
+            if inside is None:
+                inside = letters_of[lang] = KnownLetters(known.value.get(lang, known.value[""]), table)
+            junk = weight = n_words = signs = letters = longest = digits = 0
             common = distinct = 0.0
-            weight = 0
             for block in m.text:
-                share, pairs = junk_measures(block, words_known, table)
+                words = WORD.findall(block.casefold())
+                share, pairs = junk_measures(block, words, inside)
+                lengths = list(map(len, words))
+                n_words += len(words)
+                letters += sum(lengths)
+                longest = max(longest, *lengths) if words else longest
+                signs += sum(map(len, block.split()))
+                digits += sum(map(len, DIGITS.findall(block)))
                 common += share * len(block)
                 distinct += pairs * len(block)
                 weight += len(block)
-                if len(block) >= 20 and says_nothing(block, share, pairs):
+                if len(block) >= 20 and says_nothing(words, share, pairs):
                     junk += len(block)
-            chars = max(1, m.chars)
+            chars, signs = max(1, m.chars), max(1, signs)
             row = (
-                page, lang, m.chars, len(words), m.lines,
-                round(letters / max(1, len(words)), 3), round((signs - letters) / signs, 3), round(sum(ch.isdigit() for ch in text) / signs, 3),
-                round(m.ends / max(1, m.lines), 3), round(common / max(1, weight), 3), round(distinct / max(1, weight), 3), float(min(200, max(map(len, words), default=0))),
-                round(m.list_chars / chars, 4), round(m.table_chars / chars, 4), round(junk / chars, 4),
+                page, lang, key, m.chars, n_words, m.lines,
+                letters / max(1, n_words), (signs - letters) / signs, digits / signs, m.ends / max(1, m.lines), common / max(1, weight), distinct / max(1, weight), float(longest),
+                m.list_chars / chars, m.table_chars / chars, junk / chars,
             )
             for k, v in zip(names, row):
                 out[k].append(v)
+            out["paragraphs"].append(m.paragraphs if paragraphs else None)
         return out
 
-    schema = "page_id bigint, lang string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{s} double" for s in STATS) + ", list_share double, table_share double, junk_share double"
-    return materialize(map_rows(body.select("page_id", "lang", "body_no", "body"), measure, schema, setup=lambda: Hashed(BITS)), "page-statistics")
+    kinds = {f.name: f.dataType.simpleString() for f in body.schema}
+    schema = "page_id bigint, lang string, text_key bigint, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{s} double" for s in STATS)
+    schema += ", paragraphs array<string>" + "".join(f", `{k}` {kinds[k]}" for k in carry)
+    source = body.select("page_id", "lang", text_key().alias("text_key"), "body_no", "body", *carry)
+    rows = materialize(map_rows(source, measure, schema, setup=lambda: (Hashed(BITS), {})), "page-statistics")
+    return rows if paragraphs else rows.drop("paragraphs")
+
 
+def _running_counts(group: list[str], schema: pa.Schema):
+    """For sorted rows (group..., value, n) of a partition: its number, and the counts of the group's lesser values in it."""
 
-def exact_tails(values: DataFrame, group: list[str]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, held = None, 0
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            n = batch.column(len(group) + 1).to_numpy()
+            fresh = np.zeros(rows, bool)
+            keys = [batch.column(i) for i in range(len(group))]
+            for k in keys:
+                fresh[1:] |= pc.fill_null(pc.not_equal(k[1:], k[:-1]), True).to_numpy(zero_copy_only=False)
+            first = tuple(k[0].as_py() for k in keys)
+            fresh[0] = True
+            before = np.cumsum(n) - n
+            starts = np.flatnonzero(fresh)
+            below = before - np.repeat(before[starts], np.diff(np.append(starts, rows)))
+            if first == last:
+                below[: starts[1] if len(starts) > 1 else rows] += held
+            last, held = tuple(k[-1].as_py() for k in keys), int(below[-1] + n[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(below, pa.int64()), pa.array(np.full(rows, part, np.int32))], schema=schema)
+
+    return run
+
+
+def exact_tails(values: DataFrame, group: list[str], counted: str | None = None) -> DataFrame:
     """For rows (group..., value): each distinct value's exact rank and the tail probabilities on both sides.
 
-    Equal values are counted before the shuffle; the counts are range-partitioned and sorted; ranks within a partition
-    are shifted by what the partitions before hold (a table of partitions × groups).
+    With `counted`, a boolean column, only rows where it is true are counted; all values get their place among them.
+    Equal values are counted before the shuffle; the counts are range-partitioned and sorted; counts run within a
+    partition and are shifted by what the partitions before hold (at most partitions + groups rows, broadcast).
     """
-    counts = values.groupBy(*group, "value").agg(F.count("*").alias("n"))
-    ranged = counts.repartitionByRange(*group, "value").sortWithinPartitions(*group, "value").withColumn("part", F.spark_partition_id())
-    ranged = materialize(ranged, "ranged")
-    inside = Window.partitionBy(*group, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    counts = values.groupBy(*group, "value").agg(F.sum(F.col(counted).cast("bigint") if counted else F.lit(1)).alias("n"))
+    ranged = counts.repartitionByRange(*group, "value").sortWithinPartitions(*group, "value")
+    wanted = StructType([*ranged.schema.fields, StructField("under", LongType()), StructField("part", IntegerType())])
+    placed = materialize(ranged.mapInArrow(_running_counts(group, to_arrow_schema(wanted)), wanted), "ranged")
     before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy(*group, "part").agg(F.sum("n").alias("held"))
-    offsets = parts.withColumn("offset", F.coalesce(F.sum("held").over(before), F.lit(0))).withColumn("total", F.sum("held").over(Window.partitionBy(*group)))
-    rank = F.col("offset") + F.sum("n").over(inside)
-    ranks = ranged.join(offsets.drop("held"), [*group, "part"]).withColumn("upto", rank)
-    return ranks.select(*group, "value", (F.col("upto") - F.col("n") + 1).alias("rank"), (F.col("upto") / F.col("total")).alias("left_tail"), ((F.col("total") - F.col("upto") + F.col("n")) / F.col("total")).alias("right_tail"))
-
-
-def page_quality(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
-    """One row per page: its statistics, outlier_score and text_class (prose, list, table, junk)."""
-    stats = page_statistics(labelled_body(pages) if body is None else body)
-    long = stats.select("page_id", "lang", F.explode(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATS))).alias("x")).select("page_id", "lang", "x.stat", "x.value")
-    tails = exact_tails(long.select("lang", "stat", "value"), ["lang", "stat"])
-    tail = F.least(F.lit(1.0), 2 * F.least("left_tail", "right_tail"))
-    score = long.join(tails, ["lang", "stat", "value"]).groupBy("page_id").agg(F.round(F.sum(-F.log(tail)), 4).alias("outlier_score"))
+    parts = placed.groupBy(*group, "part").agg(F.sum("n").alias("held"))
+    offsets = parts.select(*group, "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"), F.sum("held").over(Window.partitionBy(*group)).alias("total"))
+    ranks = placed.join(F.broadcast(offsets), [*group, "part"]).withColumn("below", F.col("offset") + F.col("under"))
+    share = lambda n: F.when(F.col("total") > 0, n / F.col("total"))
+    return ranks.select(*group, "value", (F.col("below") + 1).alias("rank"), "below", F.col("n").alias("same"), "total", share(F.col("below") + F.col("n")).alias("left_tail"), share(F.col("total") - F.col("below")).alias("right_tail"))
+
+
+def judged(stats: DataFrame) -> DataFrame:
+    """Statistics with outlier_score, score_tail and text_class (prose, list, table, junk)."""
+    ordinary = stats.where(" and ".join(f"{k} <= 0.5" for k in ("list_share", "table_share", "junk_share")))
+    reference = ordinary.groupBy("lang", "text_key").agg(F.min("page_id").alias("page_id")).select("page_id", F.lit(True).alias("counted"))
+    marked = stats.join(reference, "page_id", "left").withColumn("counted", F.coalesce("counted", F.lit(False)))
+    each = F.explode(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATS)))
+    long = marked.select("page_id", "lang", "counted", each.alias("x")).select("page_id", "lang", "counted", "x.stat", "x.value")
+    tails = exact_tails(long, ["lang", "stat"], "counted")
+    # half a text is added on either side: no tail is zero, and a small reference proves little
+    left, right = ((n + 0.5) / (F.col("total") + 1) for n in (F.col("below") + F.col("same"), F.col("total") - F.col("below")))
+    tail = F.least(F.lit(1.0), 2 * F.least(left, right))
+    scored = long.join(tails, ["lang", "stat", "value"]).groupBy("page_id", "lang", "counted").agg(F.round(F.sum(-F.log(tail)), 9).alias("value"))
+    scored = materialize(scored, "scores")
+    places = exact_tails(scored, ["lang"], "counted").select("lang", "value", ((F.col("total") - F.col("below") + 0.5) / (F.col("total") + 1)).alias("score_tail"))
+    score = scored.join(places, ["lang", "value"]).select("page_id", F.col("value").alias("outlier_score"), "score_tail")
     kind = (
-        F.when(F.col("list_share") > 0.5, "list")
+        F.when(F.col("score_tail") > OUTLYING, "prose")
+        .when(F.col("list_share") > 0.5, "list")
         .when(F.col("table_share") > 0.5, "table")
         .when((F.col("junk_share") > 0.5) & (F.col("junk_share") * F.col("n_chars") >= MIN_JUNK), "junk")
         .otherwise("prose")
@@ -266,6 +355,11 @@ def page_quality(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
     return stats.join(score, "page_id").withColumn("text_class", kind)
 
 
+def page_quality(pages: DataFrame, body: DataFrame | None = None) -> DataFrame:
+    """One row per page: its statistics, outlier_score, score_tail and text_class (prose, list, table, junk)."""
+    return judged(page_statistics(labelled_body(pages) if body is None else body)).drop("text_key")
+
+
 def found(pages: DataFrame) -> DataFrame:
     """p1_found: page_id, text_class."""
     return page_quality(pages).where("text_class != 'prose'").select("page_id", "text_class")

@@ -67,10 +67,11 @@ class Line(NamedTuple):
 def text_nodes(html: str) -> list[Node]:
     """Blocks of text in document order, each with its root-to-leaf path; paths carry their sums and fused ratio."""
     html = HIDDEN.sub(" ", html)
-    stack: list[tuple[str, str]] = []
+    stack: list[str] = []  # open elements, and beside each its mark
+    marks: list[str] = []
     nodes: list[Node] = []
     buffer: list[str] = []
-    paths: dict[tuple[tuple[str, str], ...], Path] = {}
+    paths: dict[tuple[str, ...], Path] = {}
     linked = 0
     in_link = False
 
@@ -91,52 +92,63 @@ def text_nodes(html: str) -> list[Node]:
             buffer.append(" ")
             continue
         if buffer:
-            _keep(nodes, paths, stack, buffer, linked)
+            _keep(nodes, paths, stack, marks, buffer, linked)
             buffer = []
             linked = 0
         in_link = False
         if closing:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+                if stack[i] == tag:
+                    del stack[i:], marks[i:]
                     break
             continue
         if stack:
-            top = stack[-1][0]
-            if top == "p" and tag in ENDS_P:
-                stack.pop()
-            elif tag == "li" and top == "li":
-                stack.pop()
-            elif tag in ("td", "th", "tr") and top in ("td", "th", "tr") and any(t == "table" for t, _ in stack):
-                while stack and stack[-1][0] in (("td", "th") if tag != "tr" else ("td", "th", "tr")):
-                    stack.pop()
-        mark = tag
-        if "=" in attributes:
-            for kind, x, y, z in MARKER.findall(attributes):
-                value = " ".join(sorted((x or y or z).split()))
-                if value:
-                    mark += {"class": ".", "id": "#", "role": "@"}[kind.lower()] + value
+            top = stack[-1]
+            if top == "p" and tag in ENDS_P or tag == "li" and top == "li":
+                del stack[-1], marks[-1]
+            elif tag in ("td", "th", "tr") and top in ("td", "th", "tr") and "table" in stack:
+                while stack and stack[-1] in (("td", "th") if tag != "tr" else ("td", "th", "tr")):
+                    del stack[-1], marks[-1]
         if not attributes.endswith("/"):
-            stack.append((tag, mark))
+            stack.append(tag)
+            marks.append(tag + _MARKS[attributes] if "=" in attributes else tag)
     if buffer:
-        _keep(nodes, paths, stack, buffer, linked)
+        _keep(nodes, paths, stack, marks, buffer, linked)
     for p in paths.values():
         if p.count:
             p.ratio = (p.chars / p.count) * (1 + p.punct / p.count) * (1 - p.linked / max(1, p.chars))
     return nodes
 
 
-def _keep(nodes: list[Node], paths: dict, stack: list, buffer: list[str], linked: int) -> None:
+class _Marks(dict):
+    """What class, id and role of an element's attributes say, remembered: the same attributes come back on all pages."""
+
+    def __missing__(self, attributes: str) -> str:
+        if len(self) > 50_000:
+            self.clear()
+        mark = ""
+        for kind, x, y, z in MARKER.findall(attributes):
+            value = " ".join(sorted((x or y or z).split()))
+            if value:
+                mark += {"class": ".", "id": "#", "role": "@"}[kind.lower()] + value
+        self[attributes] = mark
+        return mark
+
+
+_MARKS = _Marks()
+
+
+def _keep(nodes: list[Node], paths: dict, stack: list[str], marks: list[str], buffer: list[str], linked: int) -> None:
     text = "".join(buffer)
     if "&" in text:
         text = unescape(text)
     text = " ".join(text.split())
     if not text:
         return
-    key = tuple(stack)
+    key = tuple(marks)
     path = paths.get(key)
     if path is None:
-        path = paths[key] = Path(tuple(m for _, m in key), tuple(t for t, _ in key))
+        path = paths[key] = Path(key, tuple(stack))
     linked = min(linked, len(text))
     path.count += 1
     path.chars += len(text)

@@ -178,3 +178,102 @@ def test_languages_on_held_out_pages(spark):
     got = {(r["page_id"], r["lang_code"]) for r in languages.found(df).collect()}
     assert {(500, "de"), (503, "de"), (501, "en")} <= got and len(got) <= 5 and 502 not in {p for p, _ in got}
     assert languages.found(df.limit(0)).count() == 0
+
+
+def test_whole_paragraphs_in_different_languages(spark):
+    rows = [page(i) for i in range(40)]
+    for i in range(40, 80):
+        rows.append(page(i, "\n\n".join(f"{GERMAN[(i + k) % 3]} Nummer {i} wurde dann noch {k} mal erzählt." for k in range(4)), lang="de-AT"))
+    rows.append(page(500, "\n\n".join((SENTENCES[0] + " " + SENTENCES[1], SENTENCES[2] + " " + SENTENCES[3], GERMAN[0] + " " + GERMAN[2] + " " + GERMAN[1])), lang="en"))
+    rows.append(page(501, "\n\n".join(SENTENCES[k] + " " + SENTENCES[k + 1] + " " + SENTENCES[0] for k in range(3)), lang="unknown"))
+    rows.append(page(502, SENTENCES[0], lang=None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r["page_id"], r["lang_code"]) for r in languages.found(df).collect()}
+    assert {(500, "en"), (500, "de"), (501, "en")} <= got and len(got) <= 5 and 502 not in {p for p, _ in got}
+    assert languages.found(df.limit(0)).count() == 0
+
+
+MORE = ("Im Winter liegt der Schnee bis in den März auf den Dächern der Stadt.", "Wer das Brot gebacken hat, weiß auch heute noch niemand.", "Der Weg durch den Wald ist länger, als er auf der Karte aussieht.")
+
+
+def test_stretches_and_pooled_languages(spark):
+    rows = [page(i) for i in range(40)]
+    german = GERMAN + MORE
+    for i in range(40, 80):
+        rows.append(page(i, "\n\n".join(f"{german[(i + k) % 6]} {german[(2 * i + 3 * k + 1) % 6]}" for k in range(4)), lang="de-AT"))
+    rows.append(page(500, SENTENCES[0] + " " + SENTENCES[1] + " " + " ".join(GERMAN) + "\n\n" + " ".join(GERMAN), lang=None))  # the change lies within a paragraph
+    rows.append(page(501, "- Gardens near the river\n- Windows of the long street\n- Letters of the old house", lang=None))  # no running paragraph
+    rows.append(page(502, "\n\n".join([" ".join(GERMAN)] * 2 + [SENTENCES[0]]), lang="no-label"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    cut = {}
+    for r in languages.stretches(df).where("page_id >= 500").orderBy("page_id", "stretch_no").collect():
+        cut.setdefault(r["page_id"], []).append((r["lang_code"], r["first_paragraph"], r["first_sentence"], r["n_sentences"]))
+    assert cut[500] == [("en", 0, 0, 2), ("de", 0, 2, 6)] and [x[0] for x in cut[502]] == ["de", "en"] and len(cut[501]) == 1
+    whole = {r["page_id"]: r for r in languages.page_languages(df).collect()}
+    assert set(whole) == {r[0] for r in rows} and whole[502]["lang_code"] == "de" and whole[502]["confidence"] < whole[45]["confidence"] and whole[502]["n_languages"] == 2
+    assert languages.stretches(df.limit(0)).count() == 0 and languages.page_languages(df.limit(0)).count() == 0
+
+
+def test_sentences_and_paths():
+    text = 'One is here. Two "was there!" And three? four'
+    assert "".join(languages.sentences(text)) == text and len(languages.sentences(text)) == 4 and languages.sentences("") == []
+    p = np.array([[0.9, 0.1], [0.45, 0.55], [0.9, 0.1], [0.05, 0.95], [0.05, 0.95]])
+    assert languages.likely_path(p, np.full(5, 3.0)).tolist() == [0, 0, 0, 1, 1]
+
+
+def test_the_score_decides_what_is_found(spark, pages, monkeypatch):
+    items = "\n".join(f"- Item {k} of it" for k in range(20))
+    odd = pages.unionByName(spark.createDataFrame([page(101, items)], SCHEMA))
+    stats = quality.page_statistics(quality.labelled_body(odd))
+    assert quality.judged(stats).where("text_class = 'list'").count() == 1
+    same = stats.select(*(quality.F.lit(0.0).alias(c) if c in quality.STATS and c != "list_share" else c for c in stats.columns))
+    monkeypatch.setattr(quality, "STATS", tuple(s for s in quality.STATS if s != "list_share"))
+    assert quality.judged(same).where("text_class != 'prose'").count() == 0  # all scores alike: no page stands out
+
+
+def test_long_templates_are_aligned(spark, pages):
+    words = [f"{a}{b}" for a in ("alpha", "beta", "gamma", "delta", "kappa") for b in ("one", "two", "three", "four", "five", "six")]
+    # the constants: short units on many sites
+    short = [page(600 + k, " ".join(words[j : j + 10]) + f" x{k}{j}.", site=f"t{k}.example") for k in range(4) for j in (0,)]
+    short += [page(620 + 10 * j + k, " ".join(words[j : j + 10]) + ".", site=f"t{k}.example") for k in range(4) for j in (10, 20)]
+    long = [page(700 + k, " ".join(words * 2) + f" of {{{{name}}}} and {k} " + " ".join(words) + ".", site=f"t{k}.example") for k in range(4)]
+    assert all(len(r[3]) > 600 for r in long)
+    got = {r["page_id"] for r in residue.found(pages.unionByName(spark.createDataFrame(short + long, SCHEMA))).collect()}
+    assert {r[0] for r in long} <= got
+    lone = residue.found(pages.unionByName(spark.createDataFrame(short + long[:1], SCHEMA)))  # a long text that quotes a variable once, and no record like it
+    assert 700 not in {r["page_id"] for r in lone.collect()}
+
+
+def test_skeletons_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    constant = rng.random(51) < 0.4
+    constant[-1] = False
+    units = [rng.integers(-1, 50, rng.integers(0, 9)) for _ in range(300)]
+    key, n = residue.skeletons(np.cumsum([0, *map(len, units)]), np.concatenate(units), constant)
+
+    def plain(u):
+        out = []
+        for w in u.tolist():
+            if w >= 0 and constant[w]:
+                out.append(w)
+            elif not out or out[-1] != -1:
+                out.append(-1)
+        return tuple(out)
+
+    want = [plain(u) for u in units]
+    assert n.tolist() == [sum(w >= 0 for w in p) for p in want]
+    assert len(set(zip(key.tolist(), want))) == len(set(want)) == len(set(key.tolist()))
+
+
+def test_templates_that_are_too_many_to_broadcast(spark, pages, monkeypatch):
+    odd = [page(200, "Welcome to {{name}}, the home of {{title}}.")] + [page(300 + k, "We could not find the page you asked for.", site=f"s{k}.example") for k in range(6)]
+    df = pages.unionByName(spark.createDataFrame(odd, SCHEMA))
+    want = sorted(map(tuple, residue.residue_pages(df).collect()))
+    monkeypatch.setattr(residue, "MAX_TEMPLATES", 0)
+    assert sorted(map(tuple, residue.residue_pages(df).collect())) == want and any(r[-1] for r in want)
+
+
+def test_feature_rows():
+    unit, feature = residue.feature_rows(np.array([3, 0, 2]), np.array([5, 5, -1, 7, 5]))
+    pair = lambda a, b: (a * 31 + b * 7 + 1) % (1 << residue.BITS) + (1 << residue.BITS)
+    assert set(zip(unit.tolist(), feature.tolist())) == {(0, 5), (0, pair(5, 5)), (0, pair(5, -1)), (2, 7), (2, 5), (2, pair(7, 5))}
