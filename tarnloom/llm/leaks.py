@@ -59,18 +59,33 @@ def _blocks(benchmark: DataFrame, limit: int):
         yield block
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """item_id, doc_id, n_windows (distinct windows of the item found there), item_windows."""
-    parts = [_block_leaks(documents, block, window, shingle) for block in _blocks(benchmark, block_words)]
+HITS = "item_id bigint, doc_id bigint, at int, item_windows bigint, place int"
+
+
+def _hits(documents: DataFrame, benchmark: DataFrame, window: int, shingle: int, block_words: int) -> DataFrame:
+    """One row for each window of an item and each place where it stands in a document."""
+    parts = [_block_hits(documents, block, window, shingle) for block in _blocks(benchmark, block_words)]
     if not parts:
-        return documents.sparkSession.createDataFrame([], "item_id bigint, doc_id bigint, n_windows bigint, item_windows bigint")
+        return documents.sparkSession.createDataFrame([], HITS)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
-    return out.groupBy("item_id", "doc_id").agg(F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"))
+    return out
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """item_id, doc_id, n_windows (distinct windows of the item found there), item_windows."""
+    hits = _hits(documents, benchmark, window, shingle, block_words)
+    return hits.groupBy("item_id", "doc_id").agg(F.count_distinct("at").alias("n_windows"), F.max("item_windows").alias("item_windows"))
 
 
-def _block_leaks(documents: DataFrame, block: list[tuple[int, list[str]]], window: int, shingle: int) -> DataFrame:
+def passages(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, places: the first words (counted from 0) of all windows of the document that stand in some item."""
+    hits = _hits(documents, benchmark, window, shingle, block_words)
+    return hits.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+
+
+def _block_hits(documents: DataFrame, block: list[tuple[int, list[str]]], window: int, shingle: int) -> DataFrame:
     sc = documents.sparkSession.sparkContext
     vocabulary: dict[str, int] = {}
     items = [(item, [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]) for item, words in block]
@@ -114,25 +129,23 @@ def _block_leaks(documents: DataFrame, block: list[tuple[int, list[str]]], windo
 
     def verify(c: dict[str, list]) -> dict[str, list]:
         records, joined = shared.value
-        out: dict[str, list] = {"item_id": [], "doc_id": [], "at": [], "item_windows": []}
-        for doc, ids in zip(c["doc_id"], c["ids"]):
+        out: dict[str, list] = {"item_id": [], "doc_id": [], "at": [], "item_windows": [], "place": []}
+        for doc, start, ids in zip(c["doc_id"], c["start"], c["ids"]):
             found = set()
             for k in range(len(ids) - shingle + 1):
                 for number, at, offset in joined.get(tuple(ids[k : k + shingle]), ()):
                     begin = k - offset
-                    if begin < 0 or begin + window > len(ids) or (number, at) in found:
-                        continue
-                    if ids[begin : begin + window] == records[number][1][at : at + window]:
-                        found.add((number, at))
-            for number, at in sorted(found):
+                    if begin >= 0 and begin + window <= len(ids) and ids[begin : begin + window] == records[number][1][at : at + window]:
+                        found.add((number, at, begin))
+            for number, at, begin in sorted(found):
                 out["item_id"].append(records[number][0])
                 out["doc_id"].append(doc)
                 out["at"].append(at)
                 out["item_windows"].append(len(records[number][1]) - window + 1)
+                out["place"].append(start + begin)
         return out
 
-    hits = map_rows(runs.select("doc_id", "ids"), verify, "item_id bigint, doc_id bigint, at int, item_windows bigint")
-    return hits.groupBy("item_id", "doc_id").agg(F.count_distinct("at").alias("n_windows"), F.max("item_windows").alias("item_windows"))
+    return map_rows(runs, verify, HITS)
 
 
 def found(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -165,3 +165,39 @@ def test_subjects_on_held_out_documents(spark):
     held = {x for x in truth if x[0] >= 120}
     assert len(held & got) >= 0.95 * len(held) and len(got - truth) <= 0.05 * len(truth)
     assert subjects.found(ds.limit(0), ls, areas).count() == 0 and subjects.found(ds, ls.limit(0), areas).count() == 0
+
+
+def test_only_paragraphs_with_a_passage_are_cut():
+    item = " ".join(f"word{i}" for i in range(20))
+    own = "This paragraph has words of its own, seventeen of them, and it is no passage of anything at all."
+    text = f"# Head\n\n{own}\n\nBefore it: {item.upper()}, and so the passage ended here. More was said of it, and of many other things that nobody had asked about at all that year.\r\n\r\n{item}. End."
+    words = re.findall(r"[^\W_]+", text.lower())
+    places = [k for k in range(len(words) - 11) if " ".join(words[k : k + 12]) in item]
+    got = subjects.paragraphs(subjects.without_passages(text, places))
+    assert len(got) == 2 and got[0] == own.lower() and "word" not in got[1].replace("words", "") and "many other things" in got[1]
+    assert subjects.without_passages("Ab c", []) == "ab c" and subjects.without_passages("", [3]) == ""
+
+
+def test_a_large_benchmark_drops_no_ordinary_paragraph(spark):
+    rng = random.Random(9)
+    docs = [(i, " ".join(rng.choice(WORDS) for _ in range(40)) + ".") for i in range(30)]
+    items = [(k, " ".join(rng.choice(WORDS) for _ in range(60))) for k in range(40)]  # their words are all of the documents' words
+    docs.append((99, " ".join(items[0][1].split()[5:35]) + "."))
+    ds, it = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    kept = {r["doc_id"] for r in subjects.paragraph_words(ds, it).collect()}
+    assert kept == set(range(30))
+    assert [(r["doc_id"], sorted(r["places"])) for r in leaks.passages(ds, it).collect()] == [(99, list(range(19)))]
+    assert leaks.passages(ds, it.limit(0)).count() == 0
+
+
+def test_two_subjects_in_one_paragraph(spark):
+    rng = random.Random(4)
+    own = {"law": ["judge", "court", "statute", "lawsuit", "verdict"], "food": ["bread", "soup", "oven", "recipe", "flour"]}
+    common = ["the", "people", "of", "town", "saw", "a", "long", "street", "with", "many", "windows"]
+    say = lambda *s: " ".join(rng.choice(own[rng.choice(s)]) if s and rng.random() < 0.4 else rng.choice(common) for _ in range(40)) + "."
+    docs = [(d, "\n\n".join(say(*([("law",), ("food",), ()][d % 3])) for _ in range(3))) for d in range(150)]
+    docs += [(900 + d, say("law", "food")) for d in range(10)]
+    labels = [(d, ["law", "food", "none"][d % 3], None) for d in range(120)]
+    ds, ls = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, subject_code string, labelled_at timestamp")
+    got = subjects.found(ds, ls, spark.createDataFrame([("law",), ("food",)], "subject_code string")).where("doc_id >= 900")
+    assert got.count() >= 18
