@@ -16,7 +16,7 @@ CLOSES = {"p": BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "html", "bo
 NOT_MAIN = (
     "header", "footer", "nav", "aside", ".header", ".top", ".navbar", "#header", ".footer", ".bottom", "#footer", ".sidebar", ".side", ".aside", "#sidebar", ".modal", ".popup", "#modal", ".overlay",
     ".ad", ".ads", ".advert", "#ad", ".lang-selector", ".language", "#language-selector", ".social", ".social-media", ".social-links", "#social", ".menu", ".navigation", "#nav", ".breadcrumbs", "#breadcrumbs",
-    ".share", "#share", ".widget", "#widget", ".cookie", "#cookie",
+    ".share", "#share", ".widget", "#widget", ".cookie", "#cookie", ".fc-decoration",
 )
 KEEP_ANYWAY = (
     "#main", ".swoogo-cols", ".swoogo-text", ".swoogo-table-div", ".swoogo-space", ".swoogo-alert", ".swoogo-sponsors", ".swoogo-title", ".swoogo-tabs", ".swoogo-logo", ".swoogo-image",

@@ -55,26 +55,36 @@ def without_nul(text: Column) -> Column:
     return F.regexp_replace(text, "\x00", "")
 
 
-# Fixed pattern parts of external content that carry no text.
-_CLEAN = (
-    (r"(?i)<(?:script|style)[^>]*>[\s\S]*?</(?:script|style)>", " "),
-    (r"<[^>]+>", " "),
-    (r"!\[[^\]]*\]\([^)]*\)", " "),
-    (r"\[([^\]]+)\]\([^)]*\)", "$1"),
-    (r"https?://\S+", " "),
-    (r"\[[^\]]*\]", " "),
-    (r"[{}`]+", " "),
-    (r"([.!?]){2,}", "$1"),
-    (r"\s+", " "),
-)
+# Fixed values of the cleaning of external content, phase by phase: containers without text, phrases of user interfaces,
+# image marks, links and addresses, brackets, names of networks and their buttons, leftovers, repeated signs, line breaks.
+NOISY_TAGS = ("nav", "footer", "header", "aside", "menu", "sidebar", "widget", "banner", "advertisement", "ad", "promo")
+UI_PHRASES = (
+    r"Skip to (main )?content", r"Main menu", r"Toggle [\w\s]+subsection", r"move to sidebar hide", r"Jump to (content|navigation)", r"Sign (In|Out|Up)", r"(Log|Register) (in|out|here)", r"Subscribe( now)?",
+    r"Share (this|on):?", r"Follow (us|me) on", r"Continue reading", r"Read more", r"Posted on:", r"Published( Time)?:", r"Author:", r"Category:", r"Tags?:", r"Comments?:", r"View (all|more)", r"See also",
+    r"Related (articles|links|posts)", r"Explore more", r"Previous (article|page)", r"Next (article|page)", r"Back to (top|home)", r"Edit (this|links)", r"Powered by", r"Copyright ©", r"All rights reserved",
+    r"Privacy (policy|statement)", r"Terms (of|and) (Use|Service|Conditions)", r"Cookie (policy|statement|settings)", r"Manage consent", r"(Accept|Reject) (all )?cookies?",
+)
+NETWORK_WORDS = (r"(Facebook|Twitter|X|Instagram|LinkedIn|YouTube|Pinterest|WhatsApp|Reddit)", r"(Like|Follow|Subscribe|Share|Tweet|Pin|Upvote)")
+
+
+def cleaning_steps() -> list[tuple[str, str] | None]:
+    """(pattern, replacement) in order; None stands for the unescaping of characters."""
+    i = "(?i)"
+    steps: list[tuple[str, str] | None] = [(rf"{i}<{t}[\s\S]*?</{t}>", "") for t in ("script", "style", "noscript")]
+    # a container ends with the tag it began with, so each name is a step of its own
+    steps += [(rf"{i}<{t}(?:[^a-z>][^>]*)?>[\s\S]*?</{t}>", "") for t in NOISY_TAGS]
+    steps += [(r"<[^>]+>", ""), None, *((i + p, "") for p in UI_PHRASES)]
+    steps += [(rf"{i}Image \d+:", ""), (r"!\[Image \d+:.*?\]", ""), (r"!\(.*?\)", ""), (r"\[([^\]]+)\]\([^\)]+\)", "$1"), (rf"{i}https?://\S+", ""), (rf"{i}www\.\S+", ""), (r"\[.*?\]", "")]
+    steps += [(rf"{i}{p}\s*\d*", "") for p in NETWORK_WORDS]
+    steps += [(r"\.mw-parser-output.*", ""), (r"\{.*?\}", ""), (r"`.*?`", ""), (r"[_*]{2,}", ""), (r"\.{2,}", "."), (r"-{3,}", ""), (r"={3,}", "")]
+    return [*steps, (r"\r\n|\r", "\n"), (r"\n\s*\n\s*\n+", "\n\n"), (r"[ \t]+", " "), (r" ?\n ?", "\n"), (r"^\s+|\s+$", "")]
 
 
 def clean_external(text: Column, least: int = 50) -> Column:
-    """Text without markup, links and addresses; the original where fewer than `least` signs would be left."""
+    """Text of a page without markup, interface, links and leftovers; the original where fewer than `least` signs would be left."""
     s = text
-    for pattern, into in _CLEAN:
-        s = F.regexp_replace(s, pattern, into)
-    s = F.trim(s)
+    for step in cleaning_steps():
+        s = unescaped(s) if step is None else F.regexp_replace(s, *step)
     return F.when(F.length(s) < least, text).otherwise(s)
 
 

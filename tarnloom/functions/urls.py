@@ -18,8 +18,10 @@ FILE_EXTENSIONS = (
 )
 SOCIAL_MARKS = ("facebook.com", "twitter.com", "linkedin.com", "instagram.com", "pinterest.com", "github.com", "calendly.com", "discord.gg", "discord.com")
 NON_WEB = ("mailto:", "tel:", "telnet:", "ftp:", "ftps:", "ssh:", "file:")
-#: Suffixes of two labels under which a registrable domain has three; a parameter, for want of the public list.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
+#: Suffixes of two labels, under which a registrable domain has three: one of these names under a country's two letters.
+#: A rule in place of the public list, which is not at hand.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gen", "gob", "gouv", "gov", "govt", "go", "ltd", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "police", "sch")
+TWO_LABEL_SUFFIX = rf"^(?:{'|'.join(SECOND_LEVEL)})\.[a-z][a-z]$"
 
 
 def scheme(u: Column) -> Column:
@@ -93,7 +95,7 @@ def registrable_domain(h: Column) -> Column:
     labels = F.split(h, r"\.")
     two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")
     three = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), F.lit(3)), ".")
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), three).otherwise(two)
+    return F.when(two.rlike(TWO_LABEL_SUFFIX), three).otherwise(two)
 
 
 def domain_splits(h: Column) -> Column:
@@ -219,9 +221,12 @@ def resolve(href: Column, base: Column) -> Column:
     root = F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), F.lit("//"), authority(base))
     folder = F.regexp_replace(path(base), r"[^/]*$", "")
     up = F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), F.regexp_replace(h, r"^(?:\./)+", ""))
-    climbed = up
-    for _ in range(4):
-        climbed = F.regexp_replace(climbed, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/]+)((?:/[^/]+)*)/(?!\.\./)[^/]+/\.\./", "$1$2/")
+    # every dot segment of the path takes the last one before it away, however many there are
+    tail = F.regexp_extract(up, r"([?#].*)$", 1)
+    parts = F.slice(F.split(F.regexp_replace(up, r"[?#].*$", ""), "/"), F.lit(4), F.size(F.split(up, "/")))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, p: F.when(p == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(p == ".", acc).otherwise(F.concat(acc, F.array(p))))
+    dots = F.when(parts[F.size(parts) - 1].isin("..", "."), F.lit("/")).otherwise("")
+    climbed = F.concat(root, F.lit("/"), F.array_join(kept, "/"), F.when(F.size(kept) > 0, dots).otherwise(""), tail)
     return (
         F.when(F.startswith(h, F.lit("#")), F.lit(""))
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), repair_scheme(h))

@@ -2,14 +2,33 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+from hashlib import blake2b
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+
+_IFRAME = re.compile(r"<iframe[^>]*>")
+_BLANKS = re.compile(r"[ \t\n\x0b\f\r]+")
+
+
+@F.pandas_udf(StringType())
+def text_signature(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Equal for texts with the same signs in any order, white space and iframe marks apart: a hash of the sorted signs."""
 
+    def sign(text: str | None) -> str | None:
+        if text is None:
+            return None
+        signs = np.frombuffer(_BLANKS.sub("", _IFRAME.sub("", text)).encode("utf-32-le", "surrogatepass"), "<u4")
+        return blake2b(np.sort(signs).tobytes(), digest_size=16).hexdigest()
 
-def text_signature(text: Column) -> Column:
-    """Equal for texts with the same signs in any order, white space and iframe marks apart."""
-    bare = F.regexp_replace(F.regexp_replace(text, r"<iframe[^>]*>", ""), r"\s", "")
-    return F.md5(F.array_join(F.array_sort(F.split(bare, "")), ""))
+    for b in batches:
+        yield b.map(sign, na_action="ignore").astype(object)
 
 
 def change_status(versions: DataFrame, key: str, order: list[str], text: str = "markdown", status: str = "status_code") -> DataFrame:

@@ -134,13 +134,26 @@ def crawl_frontier(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFr
 
 
 def sitemap_walk(maps: DataFrame, roots: DataFrame, limit: int = 25, max_depth: int = 10) -> DataFrame:
-    """Pages reached from root site maps through nested ones, each map read once, at most `limit` maps a level in order.
+    """Pages reached from root site maps through nested ones: each crawl reads each map once and at most `limit` maps in all.
 
-    maps (url, xml); roots (url). Returns map_url, loc of pages to process.
+    maps (url, xml); roots (url, and crawl where there are several). Maps are read level by level, in the order in
+    which they stand. Returns crawl (if given), map_url, loc of pages to process.
     """
-    locs = materialize(sitemap_locations(maps).select(F.col("url").alias("map_url"), "loc", "action"), "sitemap")
-    nested = locs.where("action = 'recurse'").select(F.col("map_url").alias("src"), F.col("loc").alias("dst")).distinct()
-    w = Window.partitionBy("src").orderBy("dst")
-    nested = nested.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
-    seen = crawl_frontier(nested, roots.select(F.col("url").alias("node")), max_depth)
-    return locs.where("action = 'process'").join(seen.select(F.col("node").alias("map_url")), "map_url").select("map_url", "loc").distinct()
+    seeds = roots.select(F.col("crawl") if "crawl" in roots.columns else F.lit("").alias("crawl"), F.col("url").alias("map_url")).where("map_url is not null").distinct()
+    found = sitemap_locations(maps.select("url", "xml"))
+    locs = materialize(found.select(F.col("url").alias("map_url"), "loc", "action", F.monotonically_increasing_id().alias("at")), "sitemap")
+    nested = locs.where("action = 'recurse'").groupBy("map_url", "loc").agg(F.min("at").alias("at"))
+    order = Window.partitionBy("crawl").orderBy("place", "at", "map_url")
+    hit = materialize(seeds.withColumn("place", F.row_number().over(Window.partitionBy("crawl").orderBy("map_url"))).where(F.col("place") <= limit), "sitemap")
+    level = hit
+    for _ in range(max_depth):
+        step = level.join(nested, "map_url").select("crawl", F.col("loc").alias("map_url"), "place", "at").groupBy("crawl", "map_url").agg(F.min(F.struct("place", "at")).alias("m")).select("crawl", "map_url", "m.*")
+        fresh = step.join(hit.select("crawl", "map_url"), ["crawl", "map_url"], "left_anti")
+        used = hit.groupBy("crawl").agg(F.count("*").alias("used"))
+        placed = fresh.join(used, "crawl").withColumn("place", F.row_number().over(order) + F.col("used")).where(F.col("place") <= limit)
+        level = materialize(placed.select("crawl", "map_url", F.col("place").cast("int").alias("place")), "sitemap")
+        if level.isEmpty():
+            break
+        hit = hit.unionByName(level)
+    out = locs.where("action = 'process'").join(hit.select("crawl", "map_url"), "map_url").select("crawl", "map_url", "loc").distinct()
+    return out if "crawl" in roots.columns else out.drop("crawl")

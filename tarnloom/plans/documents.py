@@ -35,10 +35,15 @@ def _clean(spark, d):
 
 
 def _clean_sql():
+    """The phases of the cleaner; RE2 takes the same patterns. The patterns themselves are tested on literals."""
     s = "text"
-    for pattern, into in X._CLEAN:
-        s = f"regexp_replace({s}, '{pattern}', '{into.replace('$1', chr(92) + '1')}', 'g')"
-    return f"WITH c AS (SELECT doc_id, text, trim({s}) AS s FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, CASE WHEN length(s) < 50 THEN text ELSE s END AS s FROM c) SELECT doc_id, md5(s) AS clean_md5, length(s)::INT AS n_chars FROM e"
+    for step in X.cleaning_steps():
+        if step is None:
+            for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&")):
+                s = f"replace({s}, '{name}', '{sign}')"
+        else:
+            s = f"regexp_replace({s}, '{step[0]}', '{step[1].replace('$1', chr(92) + '1')}', 'g')"
+    return f"WITH c AS (SELECT doc_id, text, {s} AS s FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, CASE WHEN length(s) < 50 THEN text ELSE s END AS s FROM c) SELECT doc_id, md5(s) AS clean_md5, length(s)::INT AS n_chars FROM e"
 
 
 def _search(spark, d):

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tarnloom.functions import dom
 from tarnloom.functions import urls as U
 from tarnloom.operators import links as L
+from tarnloom.operators.html import map_columns
 from tarnloom.tables import table
 
 
@@ -38,7 +40,7 @@ _IDXP = rf"(CASE WHEN regexp_replace({_PATH}, '/index\.(?:html|php|htm|shtml|xml
 _IDX = rf"('https://' || regexp_replace(regexp_replace(lower({_AUTH}), ':(?:80|443)$', ''), '^www\.', '') || {_IDXP} || {_SQ} || {_RF})"
 _IDXK = rf"(CASE WHEN {_SQ} || {_RF} = '' THEN regexp_replace({_IDX}, '/$', '') ELSE {_IDX} END)"
 _LAB = f"string_split({_PH}, '.')"
-_DOM = f"(CASE WHEN array_to_string({_LAB}[-2:], '.') IN ('co.uk','org.uk','ac.uk','com.au','co.jp','com.br','co.nz','co.in') THEN array_to_string({_LAB}[-3:], '.') ELSE array_to_string({_LAB}[-2:], '.') END)"
+_DOM = rf"(CASE WHEN regexp_matches(array_to_string({_LAB}[-2:], '.'), '^(ac|co|com|edu|gen|gob|gouv|gov|govt|go|ltd|mil|ne|net|nhs|nom|or|org|plc|police|sch)\.[a-z][a-z]$') THEN array_to_string({_LAB}[-3:], '.') ELSE array_to_string({_LAB}[-2:], '.') END)"
 _FULL = r"(CASE WHEN regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN trim(url) ELSE 'http://' || trim(url) END)"
 _EXT = ", ".join(f"'{e}'" for e in U.FILE_EXTENSIONS)
 _DEPTH = f"len(list_filter(string_split({_PATH}, '/'), lambda s: s <> '' AND s <> 'index.php' AND s <> 'index.html'))"
@@ -84,7 +86,7 @@ def _domain_levels(spark, d):
 
 _DOMAIN_LEVELS = rf"""WITH h AS (SELECT DISTINCT {_PH} AS host FROM pages WHERE url IS NOT NULL),
 l AS (SELECT host, string_split(host, '.') AS x FROM h WHERE host <> ''),
-m AS (SELECT host, x, CASE WHEN array_to_string(x[-2:], '.') IN ('co.uk','org.uk','ac.uk','com.au','co.jp','com.br','co.nz','co.in') THEN least(3, len(x)) ELSE least(2, len(x)) END AS first FROM l)
+m AS (SELECT host, x, CASE WHEN regexp_matches(array_to_string(x[-2:], '.'), '^(ac|co|com|edu|gen|gob|gouv|gov|govt|go|ltd|mil|ne|net|nhs|nom|or|org|plc|police|sch)\.[a-z][a-z]$') THEN least(3, len(x)) ELSE least(2, len(x)) END AS first FROM l)
 SELECT host, (k - first)::INT AS level, array_to_string(x[len(x) - k + 1:], '.') AS domain FROM (SELECT host, x, first, unnest(range(first, len(x) + 1)) AS k FROM m)"""
 
 
@@ -174,10 +176,13 @@ SELECT key, min(page_id) AS page_id FROM k GROUP BY key"""
 
 
 def _page_links(spark, d):
-    """Distinct absolute links of each page, by the fast path for well-formed markup."""
-    p = table(spark, d, "pages").where("html is not null and page_id is not null and url is not null").groupBy("page_id").agg(F.max_by(F.struct("html", "url"), F.struct("scraped_at", "url")).alias("v"))
-    rows = p.select("page_id", "v.url", F.explode(F.array_distinct(F.expr("regexp_extract_all(v.html, '<a href=\"([^\"]*)\"', 1)"))).alias("href"))
-    return rows.select("page_id", U.resolve(F.col("href"), F.col("url")).alias("link")).where("link != ''").distinct()
+    """Distinct absolute links of each page: by pattern where all anchors have the plain form, else from the document tree."""
+    p = table(spark, d, "pages").where("html is not null and page_id is not null and url is not null").groupBy("page_id").agg(F.max_by(F.struct("html", "url"), F.struct("scraped_at", "url")).alias("v")).select("page_id", "v.url", "v.html")
+    plain = F.expr("size(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) = size(regexp_extract_all(html, '(?i)<a[\\\\s/>]', 0)) and not html rlike '(?i)<base[\\\\s]|<!--|<script|<template'")
+    fast = p.where(plain).select("page_id", "url", F.explode(F.array_distinct(F.expr("regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"))).alias("href"))
+    fast = fast.select("page_id", U.resolve(F.col("href"), F.col("url")).alias("link"))
+    tree = map_columns(p.where(~plain), lambda h, u: (dom.absolute_links(h, u),), ["html", "url"], ["page_id"], "links array<string>")
+    return fast.unionAll(tree.select("page_id", F.explode("links").alias("link"))).where("link != ''").distinct()
 
 
 _PAGE_LINKS = rf"""WITH o AS (SELECT page_id, url, html, row_number() OVER (PARTITION BY page_id ORDER BY scraped_at DESC NULLS LAST, url DESC) AS r FROM pages WHERE html IS NOT NULL AND page_id IS NOT NULL AND url IS NOT NULL),

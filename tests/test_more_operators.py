@@ -105,3 +105,58 @@ def test_repo_rules_on_nulls(spark):
     assert keep() == ["A/D", "a/b", "a/c"] and keep(exclude=["a/d"]) == ["a/b", "a/c"] and keep(keywords=["demo"]) == ["A/D", "a/b"] and keep(topics=["WEB"]) == ["a/b", "a/c"] and keep(least=50) == ["A/D", "a/b"]
     f = spark.createDataFrame([], "repo string, path string")
     assert repos.repo_shapes(f).count() == 0 and repos.snapshot_changes(f.withColumn("sha", F.lit("")), f.withColumn("sha", F.lit(""))).count() == 0
+
+
+def test_clean_external_on_literals(spark):
+    tail = " This sentence is long enough to stay where it is, and says a thing."
+    cases = {
+        "<script>x</script><nav class='a'>Home</nav><b>Bold</b> &amp; more." + tail: "Bold & more." + tail,
+        "Skip to content\n\n\n\nRead more Image 3: [Word](http://a.example/x) www.b.example/y [1] {css} `code` ....." + tail: "Word ." + tail,
+        "Facebook 12 and Share 3" + tail: "and" + tail,
+        "short": "short",
+        "<header>short</header>": "<header>short</header>",
+    }
+    assert {k: one(spark, k, X.clean_external) for k in cases} == cases and one(spark, None, X.clean_external) is None
+
+
+def test_site_map_limit_is_of_the_crawl(spark):
+    from tarnloom.operators import links as L
+
+    index = lambda *u: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in u) + "</sitemapindex>"
+    maps = [("https://e.x/r.xml", index(*(f"https://e.x/z{9 - k}.xml" for k in range(6))))] + [(f"https://e.x/z{k}.xml", f"<urlset><url><loc>https://e.x/p{k}</loc></url></urlset>") for k in range(10)]
+    maps.append(("https://o.x/r.xml", index("https://e.x/z1.xml")))
+    df = spark.createDataFrame(maps, "url string, xml string").coalesce(1)
+    roots = spark.createDataFrame([("a", "https://e.x/r.xml"), ("b", "https://o.x/r.xml")], "crawl string, url string")
+    got = sorted((r["crawl"], r["loc"]) for r in L.sitemap_walk(df, roots, limit=4).collect())
+    assert got == [("a", "https://e.x/p7"), ("a", "https://e.x/p8"), ("a", "https://e.x/p9"), ("b", "https://e.x/p1")]
+
+
+def test_resolve_climbs_any_number_of_folders(spark):
+    from urllib.parse import urljoin
+
+    from tarnloom.functions import urls as U
+
+    base = "https://a.example/1/2/3/4/5/6/7/page?q=1#f"
+    for href in ("../../../../../../x", "../../../../../../../../../y", "./z", "a/../b/./c?d=../e", "..", "?k=2", "/r", "//o.example/s"):
+        assert one(spark, href, lambda c: U.resolve(c, F.lit(base))) == urljoin(base, href)
+
+
+def test_registrable_domains(spark):
+    from tarnloom.functions import urls as U
+
+    cases = {"a.b.gov.uk": "b.gov.uk", "x.com.mx": "x.com.mx", "y.x.co.uk": "x.co.uk", "a.b.example": "b.example", "com.de": "com.de", "a.b.com": "b.com", "one": "one"}
+    assert {k: one(spark, k, U.registrable_domain) for k in cases} == cases
+
+
+def test_text_signatures(spark):
+    rows = [(1, "ab c<iframe x>"), (2, " cb\na"), (3, "abcc"), (4, ""), (5, None), (6, "é𝄞"), (7, "𝄞é")]
+    got = {r["i"]: r["s"] for r in spark.createDataFrame(rows, "i int, t string").select("i", history.text_signature("t").alias("s")).collect()}
+    assert got[1] == got[2] != got[3] and got[5] is None and got[4] is not None and got[6] == got[7]
+
+
+def test_links_of_pages_in_any_form(spark, tmp_path):
+    from tarnloom.plans import web
+
+    rows = [(1, '<base href="/d/"><A class=x HREF=\'one\'>1</A>', "https://a.example/p"), (2, '<a href="/two">2</a>', "https://a.example/p"), (3, None, "https://a.example/p"), (4, "<a>none</a>", "https://a.example/p")]
+    spark.createDataFrame([(a, h, u, None) for a, h, u in rows], "page_id bigint, html string, url string, scraped_at timestamp").write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted(tuple(r) for r in web._page_links(spark, str(tmp_path)).collect()) == [(1, "https://a.example/d/one"), (2, "https://a.example/two")]
