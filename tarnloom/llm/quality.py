@@ -59,9 +59,14 @@ PIPES = re.compile(r"^\s*\|.*\|\s*$")
 COLUMNS = (re.compile(r"\t"), re.compile(r";"), re.compile(r" {3,}"), re.compile(r"\s\|\s|^\||\|$"))
 WORD = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[^\W\d_]+")
-DIGITS = re.compile(r"\d+")
 SENTENCE = re.compile(r"[.!?…](?:\s|$|[\"'”’»)*_])")
-SENTENCE_END = re.compile(r"[.!?…][\"'”’»)\]*_]*$")
+END_SIGNS = frozenset(".!?…")
+CLOSING = "\"'”’»)]*_"
+
+
+def ends_sentence(line: str) -> bool:
+    """Whether a stripped line ends with a sentence's sign, closing signs behind it apart."""
+    return line.rstrip(CLOSING)[-1:] in END_SIGNS
 
 
 def table_rows(lines: list[str]) -> list[bool]:
@@ -105,7 +110,7 @@ def kinds_of(block: list[str]) -> list[str]:
     rows = table_rows(block)
     if sum(rows) >= 0.6 * len(block):
         return ["table"] * len(block)
-    if len(block) >= 3 and sum(map(len, block[:-1])) / (len(block) - 1) < 45 and sum(SENTENCE_END.search(x.strip()) is not None for x in block) <= 0.25 * len(block):
+    if len(block) >= 3 and sum(map(len, block[:-1])) / (len(block) - 1) < 45 and sum(ends_sentence(x.strip()) for x in block) <= 0.25 * len(block):
         return ["list"] * len(block)
     return ["list" if i else "table" if r else "text" for i, r in zip(items, rows)]
 
@@ -126,7 +131,7 @@ class Measures:
                 n = len(line)
                 self.chars += n
                 self.lines += 1
-                self.ends += SENTENCE_END.search(line) is not None
+                self.ends += ends_sentence(line)
                 if kind == "list":
                     self.list_chars += n
                 elif kind == "table":
@@ -167,7 +172,7 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
             words: set[int] = set()
             for block in blocks_of(no, lines):
                 text = " ".join(x.strip() for x in block)
-                if SENTENCE_END.search(text):
+                if ends_sentence(text):
                     found = WORD.findall(text.casefold())
                     once = set(found)
                     if len(found) >= 6 and len(once) > len(found) // 2:
@@ -211,10 +216,9 @@ class KnownLetters(dict):
         return value
 
 
-def junk_measures(text: str, words: list[str], known: KnownLetters) -> tuple[float, float]:
-    """Share of the signs that belong to known words, and of distinct word pairs."""
-    signs = sum(map(len, text.split()))
-    digits = sum([len(w) for w in words if w.isdigit()])
+def junk_measures(signs: int, digits: int, words: list[str], known: KnownLetters) -> tuple[float, float]:
+    """Share of a block's signs that belong to known words, and of distinct word pairs; digits: of all its signs."""
+    digits = sum([len(w) for w in words if w.isdigit()]) if digits else 0
     distinct = len(set(zip(words, words[1:]))) / (len(words) - 1) if len(words) > 8 else 1.0
     return sum(map(known.__getitem__, words)) / max(1, signs - digits if digits < 0.3 * signs else signs), distinct
 
@@ -252,13 +256,14 @@ def page_statistics(body: DataFrame, carry: list[str] = (), paragraphs: bool = F
             common = distinct = 0.0
             for block in m.text:
                 words = WORD.findall(block.casefold())
-                share, pairs = junk_measures(block, words, inside)
+                n_signs, n_digits = sum(map(len, block.split())), sum(map(block.count, "0123456789"))
+                share, pairs = junk_measures(n_signs, n_digits, words, inside)
                 lengths = list(map(len, words))
                 n_words += len(words)
                 letters += sum(lengths)
                 longest = max(longest, *lengths) if words else longest
-                signs += sum(map(len, block.split()))
-                digits += sum(map(len, DIGITS.findall(block)))
+                signs += n_signs
+                digits += n_digits
                 common += share * len(block)
                 distinct += pairs * len(block)
                 weight += len(block)
