@@ -60,7 +60,31 @@ dg AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELE
 SELECT item_id, doc_id{columns} FROM ig JOIN dg ON ig.g = dg.g GROUP BY item_id, doc_id"""
 
 
+def _shingles_sql(k: int) -> str:
+    """s: each row's distinct runs of k words."""
+    return rf"""v AS (SELECT version_id, regexp_extract_all(lower(markdown), '[\p{{L}}\p{{N}}]+') AS w FROM page_versions WHERE version_id IS NOT NULL AND markdown IS NOT NULL),
+s AS (SELECT DISTINCT version_id, array_to_string(w[k:k + {k - 1}], ' ') AS g FROM (SELECT version_id, w, unnest(range(1, len(w) - {k - 2})) AS k FROM v))"""
+
+
+_P6_FOUND = f"""WITH RECURSIVE {_shingles_sql(3)},
+n AS (SELECT version_id, count(*) AS n FROM s GROUP BY version_id),
+c AS (SELECT x.version_id AS a, y.version_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.version_id <> y.version_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.version_id = a JOIN n y ON y.version_id = b WHERE c >= 0.6 * (x.n + y.n - c) - 1e-9),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT a AS version_id_a, b AS version_id_b FROM r WHERE a < b"""
+_P6_GROUPS = f"""WITH RECURSIVE {_shingles_sql(5)},
+o AS (SELECT version_id, md5(string_agg(g, '|' ORDER BY g)) AS key, count(*) AS n FROM s GROUP BY version_id),
+k AS (SELECT key, min(version_id) AS id, min(n) AS n FROM o GROUP BY key),
+t AS (SELECT k.id, s.g FROM k JOIN s ON s.version_id = k.id),
+c AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM t x JOIN t y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN k x ON x.id = a JOIN k y ON y.id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a), d AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT o.version_id, k.id AS class_id, least(k.id, coalesce(m.b, k.id)) AS group_id, coalesce(d.n, 0) AS n_links FROM o JOIN k USING (key) LEFT JOIN m ON m.a = k.id LEFT JOIN d ON d.a = k.id"""
+
 SQL: dict[str, str] = {
+    "p6_found": _P6_FOUND,
+    "p6_groups": _P6_GROUPS,
     "p9_found": _leaks_sql(""),
     "p9_leaks": _leaks_sql(", count(DISTINCT k) AS n_windows, max(n) AS item_windows"),
     "p4_found": _P4 + "SELECT c.site, c.line FROM c JOIN t ON c.site = t.site WHERE c.n >= t.pages * 0.125",
