@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnloom.plans import answers, documents, history, lists, lookup, markup, metering, relational, repos, skewed, web
+from tarnloom.plans import answers, documents, exchange, history, lists, lookup, markup, metering, relational, repos, skewed, web
 
-MODULES = (skewed, web, history, metering, documents, relational, markup, lists, lookup, repos, answers)
+MODULES = (skewed, web, history, metering, documents, relational, markup, lists, lookup, repos, answers, exchange)
 FLAGSHIP = "p7_owner_stats"
 
 

@@ -47,15 +47,21 @@ def shared_folder(spark: SparkSession) -> str:
     return where
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed with the tables of this process."""
+    path = f"{shared_folder(spark)}/tarnloom/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: a short lineage that survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tarnloom/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 

@@ -31,3 +31,8 @@ def new_keys(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows with a valid key (a UUID) not known yet, one of each."""
     ok = F.col(key).rlike(r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[1-8][0-9a-fA-F]{3}-[89abAB][0-9a-fA-F]{3}-[0-9a-fA-F]{12}$")
     return rows.where(ok).dropDuplicates([key]).join(known.select(key).distinct(), key, "left_anti")
+
+
+def write_steps(steps: DataFrame, root: str, run: str = "run_id") -> None:
+    """Traces of runs: one folder a run, one JSON line a step, in the order of `seq`."""
+    steps.repartition(run).sortWithinPartitions(run, "seq").write.mode("append").partitionBy(run).json(root)
