@@ -159,8 +159,32 @@ def _ranked(spark, d):
     return T.ranked(rows).select("seq", F.round("composite", 6).alias("composite"), "rank")
 
 
+SOLUTIONS = (
+    ("def solve(tools):\n    return tools.find(q=1)", ""),
+    ("def solve(tools):\n    import math\n    return tools['find'](math.floor(2.5))", ""),
+    ("from .re import x\ndef solve(tools):\n    return tools.find()", "import"),
+    ("import os\ndef solve(tools):\n    return tools.find()", "import"),
+    ("def help():\n    pass\ndef solve(tools):\n    return tools.find()", "other function"),
+    ("def solve(tools):\n    return db.rows + tools.find()", "database"),
+    ("def solve(tools):\n    return print(tools.find())", "unsafe"),
+    ("def solve(tools):\n    answer = str(tools.find())\n    return answer", "answer"),
+    ("def solve(tools):\n    return tools.submit_result()", "answer"),
+    ("def solve(tools):\n    return len([1])", "no tool call"),
+    ("class A:\n    pass\ndef solve(tools):\n    return tools.find()", "class"),
+    ("def solve(tools:", "syntax"),
+    ("x = 1", "solve"),
+    (" ", "empty"),
+)
+VERIFIERS = (("def verify(a):\n    return a > 1", ""), ("def verify(a):\n    return True", "constant"), ("def check(a):\n    return a", "verify"), ("def verify(a):\n    pass", "no return"), (None, "empty"))
+
+
+def _checked_code(spark, d):
+    r = _docs(spark, d).select("doc_id", _pick([x for x, _ in SOLUTIONS], F.col("doc_id")).alias("s"), _pick([x for x, _ in VERIFIERS], F.col("doc_id")).alias("v"))
+    return T.checked_code(r, "s", "v", "doc_id").select("doc_id", "solution_reason", "verification_reason")
+
+
 QUERIES = {
-    "answer_checks": _answer_checks, "verifications": _verifications, "trivial_code": _trivial, "job_numbers": _numbers, "kept_parents": _parents, "task_uuids": _uuids, "record_counts": _record_counts, "file_skeletons": _skeletons,
+    "checked_code": _checked_code, "answer_checks": _answer_checks, "verifications": _verifications, "trivial_code": _trivial, "job_numbers": _numbers, "kept_parents": _parents, "task_uuids": _uuids, "record_counts": _record_counts, "file_skeletons": _skeletons,
     "compact_json": _compact, "tool_prefixes": _tool_texts, "forced_engines": _engines, "text_budgets": _budgets, "source_lists": _sources, "paged_texts": _paged, "document_texts": _document_texts, "code_blocks": _code_blocks,
     "json_texts": _json_texts, "wiki_texts": _wiki, "export_urls": _export_urls, "retained_questions": _verdicts, "package_problems": _packages, "ranked_packages": _ranked,
 }
@@ -176,6 +200,7 @@ def _case(results, c="doc_id"):
 _JS = "'{\"id\": ' || doc_id || '}'"
 _SC = lambda x: f"least(1.0, greatest(0.0, {x}))"
 SQL = {
+    "checked_code": f"WITH {_D} SELECT doc_id, {_case([x for _, x in SOLUTIONS])} AS solution_reason, {_case([x for _, x in VERIFIERS])} AS verification_reason FROM d",
     "answer_checks": f"WITH {_D} SELECT doc_id, {_case((False, False, False, False, False, True, False, True, True, True, True))} AS has_content, {_case(('a,b,c', 'z', 'j,k', '', '', ''))} AS fields, {_case(('r', 'q', 'd', 'x', REPORTS[4], '5', REPORTS[6]))} AS answer, {_case((None, 'pr_category', 'issue_description_reasonable', 'requires_gpu', 'json'))} AS problem FROM d",
     "verifications": f"WITH {_D} SELECT doc_id, {_case((1, 0, 1, 0, 1, 0, None, None))} AS verified, {_case((None, None, 0.5, None, 0.25, None, None, 1.5))}::DOUBLE AS score, {_case((None, None, 'fine', 'bad', 'note', 'why', None, None))} AS message FROM d",
     "trivial_code": f"WITH {_D} SELECT doc_id, {_case((True, True, False, True, False, False, False))} AS solution, {_case((False, False, False, False, True, True, False))} AS verifier FROM d",
