@@ -63,10 +63,18 @@ def newest_good(rows: DataFrame, key: str, order: list[Column], good: Column, wi
 
 
 def within_interval(events: DataFrame, facts: DataFrame, key: str, at: str, time: str, back: str, most: int) -> DataFrame:
-    """Per event the `most` newest facts of its key in (at - back, at]; one row per pair with `rank`."""
+    """Per event the `most` newest facts of its key in (at - back, at]; one row per pair with `rank`.
+
+    Joined on key and slot of time, so a busy key does not pair all its events with all its facts. NULL times match nothing.
+    """
     mine = [c for c in facts.columns if c != key]
-    pairs = events.join(facts.select(key, *(F.col(c).alias(f"fact_{c}") for c in mine)), key)
-    near = pairs.where(F.expr(f"fact_{time} <= {at} and fact_{time} > {at} - interval {back}"))
+    # times are cut into slots as long as the interval: what an event asks for lies in its own slot or the one before
+    zero = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    slot = lambda c: F.floor(micros(F.col(c)) / (micros(zero + F.expr(f"interval {back}")) - micros(zero)))
+    wanted = events.select(*events.columns, F.explode(F.array(slot(at), slot(at) - 1)).alias("_slot"))
+    held = facts.select(key, slot(time).alias("_slot"), *(F.col(c).alias(f"fact_{c}") for c in mine))
+    near = wanted.join(held, [key, "_slot"]).drop("_slot").where(F.expr(f"fact_{time} <= {at} and fact_{time} > {at} - interval {back}"))
     w = Window.partitionBy(*(F.col(c) for c in events.columns)).orderBy(F.desc(f"fact_{time}"), *(f"fact_{c}" for c in mine))
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
 

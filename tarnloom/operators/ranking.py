@@ -65,10 +65,14 @@ def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = 20
                 d = np.maximum(qn[:, None] + (x * x).sum(1)[None, :] - 2 * qv @ x.T, 0.0)
                 d[qid[:, None] == vid[None, :]] = np.inf
                 m = min(k, len(vid))
-                order = np.lexsort((np.broadcast_to(vid, d.shape), np.round(d, 9)), axis=1)[:, :m]
-                near = np.take_along_axis(d, order, 1)
-                flat = np.isfinite(near).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, m)[flat]), pa.array(vid[order].ravel()[flat]), pa.array(near.ravel()[flat])], ["query_id", "vec_id", "distance"])
+                rounded = np.round(d, 9)
+                worst = np.partition(rounded, m - 1, axis=1)[:, m - 1 : m]
+                q, v = np.nonzero((rounded <= worst) & np.isfinite(d))  # the m nearest and what ties with the last of them
+                order = np.lexsort((vid[v], rounded[q, v], q))
+                q, v = q[order], v[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                q, v = q[place < m], v[place < m]
+                yield pa.RecordBatch.from_arrays([pa.array(qid[q]), pa.array(vid[v]), pa.array(d[q, v])], ["query_id", "vec_id", "distance"])
 
         return vectors.select(F.col(vec_id).cast("bigint"), embedding).where(f"{vec_id} is not null").mapInArrow(run, "query_id bigint, vec_id bigint, distance double")
 
