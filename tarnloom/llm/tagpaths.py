@@ -29,6 +29,7 @@ LINK_TARGET = re.compile(r"\]\([^()\s]*\)")
 LINK = re.compile(r"!?\[([^\]]*)\]\([^()\s]*\)")
 
 ENOUGH = 400  # characters of selected text from which the selection outweighs the heading's place
+BESIDE = 0.5  # of the container's selected text, from which text of another element is the page's own too
 LONG = 200  # characters of the longest paragraph of a page rich in text
 
 
@@ -157,12 +158,12 @@ def _keep(nodes: list[Node], paths: dict, stack: list[str], marks: list[str], bu
     nodes.append(Node(path, text, linked))
 
 
-def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool, bool]:
-    """The element whose blocks hold the page's own text, whether there is enough of it to be sure, and whether it is a guess.
+def containers_of(nodes: list[Node]) -> tuple[list[tuple[str, ...]], bool, bool]:
+    """The elements whose blocks hold the page's own text, whether there is enough of it to be sure, and whether they are a guess.
 
-    Fused path ratios are smoothed along the nodes; nodes half a deviation above the mean of the series are
-    selected, and the parent element with most selected text wins; the first heading's parent stands in on
-    pages with little text.
+    Fused path ratios are smoothed along the nodes; nodes half a deviation above the mean of the series are selected.
+    The parent element with most selected text is a container, and so is every other whose text above the mean passes the
+    threshold of enough text and BESIDE of the first one's; the first heading's parent stands in on pages with little text.
     """
     raw = [math.log1p(n.path.ratio) for n in nodes]
     n = len(raw)
@@ -170,6 +171,7 @@ def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool, bool]:
     mean = sum(fused) / n
     cut = mean + 0.5 * math.sqrt(sum((x - mean) ** 2 for x in fused) / n)
     weight: dict[tuple[str, ...], int] = {}
+    beside: dict[tuple[str, ...], int] = {}
     heading: tuple[str, ...] | None = None
     for node, value in zip(nodes, fused):
         path = node.path
@@ -179,20 +181,25 @@ def container_of(nodes: list[Node]) -> tuple[tuple[str, ...], bool, bool]:
             heading = path.parent
         if value > cut:
             weight[path.parent] = weight.get(path.parent, 0) + len(node.text) - node.linked
+        if value > mean:
+            beside[path.parent] = beside.get(path.parent, 0) + len(node.text) - node.linked
     best = max(weight, key=lambda p: weight[p], default=None)
     if heading is not None and (best is None or weight[best] < ENOUGH or weight.get(heading, 0) * 2 >= weight[best]):
         best = heading
     if best is None:
         best = max(nodes, key=lambda x: len(x.text)).path.parent
-    sure = weight.get(best, 0) >= ENOUGH
-    return best, sure, heading is None and not sure
+    held = weight.get(best, 0)
+    sure = held >= ENOUGH
+    apart = lambda p: p[: len(best)] != best and best[: len(p)] != p
+    others = [p for p, w in beside.items() if w >= max(ENOUGH, BESIDE * held) and apart(p)] if sure else []
+    return [best, *others], sure, heading is None and not sure
 
 
 def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
     """Per node: content or not by structure, its shape (see Line), and whether the page is rich in text."""
-    where, sure, guess = container_of(nodes)
-    depth = len(where)
+    where, sure, guess = containers_of(nodes)
     state: dict[int, int] = {}  # of a path: 0 outside, 1 structure inside, 2 other inside
+    depths: dict[int, int] = {}
     kinds: dict[tuple[str, ...], float] = {}
     longest = 0
     for n in nodes:
@@ -200,12 +207,14 @@ def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
         k = state.get(id(p))
         if k is None:
             k = 0
-            if p.marks[:depth] == where:
+            depth = next((len(w) for w in where if p.marks[: len(w)] == w), None)
+            if depth is not None:
                 names = p.names[depth:]
                 if CHROME.isdisjoint(names):
                     k = 1 if names and names[0] in STRUCTURE else 2
             state[id(p)] = k
             if k == 2:
+                depths[id(p)] = depth
                 rest = p.marks[depth:]
                 kinds[rest] = kinds.get(rest, 0.0) + p.chars * math.log1p(p.ratio)
         if k == 2:
@@ -216,8 +225,10 @@ def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
         p = n.path
         if id(p) not in final:
             k = state[id(p)]
-            if k == 2 and p.marks[depth:] != main and p.marks[depth:] != p.names[depth:]:
-                k = 3
+            if k == 2:
+                rest = p.marks[depths[id(p)] :]
+                if rest != main and rest != p.names[depths[id(p)] :]:
+                    k = 3
             final[id(p)] = k
     shapes = [final[id(n.path)] for n in nodes]
     if guess:  # neither a heading nor enough text: only the words of a line can tell

@@ -277,3 +277,20 @@ def test_feature_rows():
     unit, feature = residue.feature_rows(np.array([3, 0, 2]), np.array([5, 5, -1, 7, 5]))
     pair = lambda a, b: (a * 31 + b * 7 + 1) % (1 << residue.BITS) + (1 << residue.BITS)
     assert set(zip(unit.tolist(), feature.tolist())) == {(0, 5), (0, pair(5, 5)), (0, pair(5, -1)), (2, 7), (2, 5), (2, pair(7, 5))}
+
+
+def test_text_over_two_sibling_containers():
+    left, right = [f"{SENTENCES[k % 4]} {SENTENCES[(k + 1) % 4]} Part {k} of it." for k in range(6)], [f"{SENTENCES[(k + 2) % 4]} {SENTENCES[k % 4]} Column {k} of it." for k in range(6)]
+    box = "".join(f"<p>{x}</p>" for x in ("Cookies help us.", "See our offers."))
+    html = "<body><nav><a href='/h'>Home</a></nav><div class='row'>" + "".join(f"<div class='{c}'>" + "".join(f"<p>{x}</p>" for x in ps) + "</div>" for c, ps in (("left", left), ("right", right))) + f"<div class='box'>{box}</div></div></body>"
+    lines = {x.text: x.content for x in tagpaths.page_lines(html, "\n\n".join(["Home", *left, *right, "Cookies help us.", "See our offers."]))}
+    assert all(lines[x] == 1 for x in left + right) and lines["Home"] == lines["Cookies help us."] == lines["See our offers."] == 0
+
+
+def test_a_site_that_holds_half_of_all_pages(spark):
+    rows = [page(i, site="big.example" if i % 2 else f"s{i % 5}.example", nav="Menu of the whole site") for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in sitelines.frequent_lines(df).select("site", "line").collect()}
+    assert ("big.example", "menu of the whole site") in got and ("big.example", "share this page with your friends") in got
+    clean = {r["page_id"]: r for r in sitelines.without_frequent_lines(df).collect()}
+    assert len(clean) == 60 and all("Menu of" not in r["clean_markdown"] for r in clean.values())
