@@ -35,7 +35,7 @@ from tarnloom.llm.sitelines import site_of
 from tarnloom.session import materialize
 
 TRAIN_PAGES, PAGE_WINDOWS = 1500, 64
-HIDDEN, STEPS, BATCH = 16, 400, 512
+HIDDEN, STEPS, BATCH = 16, 260, 512
 GRAIN = 16  # a text's windows are of equal length, rounded up to this, so few bytes are read twice
 MIN_PARAGRAPHS = 3
 SWITCH = 4.0  # log-odds that a change of language costs a stretch
@@ -58,7 +58,7 @@ def train_network(data: np.ndarray, label: np.ndarray, mask: np.ndarray, seed: i
     if len(np.unique(label)) < 2:
         return None
     first = ByteGRU(len(LANGS), HIDDEN, seed)
-    first.train(data, label, mask, steps=STEPS // 2, seed=seed)
+    first.train(data, label, mask, steps=STEPS // 2, seed=seed)  # too few to learn wrong labels by heart
     p = np.concatenate([first.probabilities(data[i : i + BATCH], mask[i : i + BATCH]) for i in range(0, len(data), BATCH)])
     p /= np.maximum(1e-9, p.sum(1, keepdims=True))
     keep = p[np.arange(len(label)), label] >= 0.5
