@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -201,3 +202,28 @@ def test_two_subjects_in_one_paragraph(spark):
     ds, ls = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, subject_code string, labelled_at timestamp")
     got = subjects.found(ds, ls, spark.createDataFrame([("law",), ("food",)], "subject_code string")).where("doc_id >= 900")
     assert got.count() >= 18
+
+
+def test_pairs_of_a_bucket_in_bounded_memory(monkeypatch):
+    """A bucket's memory follows its postings, not its pairs: 1,500 records of 20 common shingles are 1,124,250 pairs met 20 times each."""
+    records, shared = 1500, 20
+    own = np.repeat(np.arange(records, dtype="<u4"), shared)
+    block = (np.tile(np.arange(shared, dtype="<u4"), records), own, np.arange(records, dtype="<i8") * 7 - 50, np.full(records, 40, "<u4"))
+    monkeypatch.setattr(neardup, "PAIRS", 100_000)
+    tracemalloc.start()
+    found, counts = 0, set()
+    for p, hot in neardup._pairs_of_bucket([block, block], 0.6, 1, neardup.HOT):
+        assert not hot and len(p["a"]) <= 100_000
+        found += len(p["a"])
+        counts |= set(p["n"].tolist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == records * (records - 1) // 2 and counts == {shared} and peak < 40e6
+    monkeypatch.setattr(neardup, "PAIRS", 5000)  # less than one record's: its partners are counted in turns
+    again = [p for p, _ in neardup._pairs_of_bucket([block], 0.6, 1, neardup.HOT)]
+    assert sum(len(p["a"]) for p in again) == found and {x for p in again for x in p["n"].tolist()} == {shared}
+
+
+def test_buckets_follow_the_postings_not_the_partitions():
+    assert neardup.bucket_count(100, 8) == 8 and neardup.bucket_count(100, 200) == neardup.LEAST_BUCKETS
+    assert neardup.bucket_count(800e6, 12) * neardup.POSTINGS >= 800e6
