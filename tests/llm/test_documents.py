@@ -3,6 +3,7 @@
 import random
 import re
 import tracemalloc
+from hashlib import blake2b
 
 import numpy as np
 import pytest
@@ -227,3 +228,12 @@ def test_pairs_of_a_bucket_in_bounded_memory(monkeypatch):
 def test_buckets_follow_the_postings_not_the_partitions():
     assert neardup.bucket_count(100, 8) == 8 and neardup.bucket_count(100, 200) == neardup.LEAST_BUCKETS
     assert neardup.bucket_count(800e6, 12) * neardup.POSTINGS >= 800e6
+
+
+def test_words_are_cut_as_the_pattern_cuts_them():
+    texts = ["Ab-c_d 1é2 “Ünï” – a…b c x’y ΑΣ ΟΔΟΣ. ١٢ ½ éf", "plain ascii_text, 3.5!", "", " – ", "日本語、テスト。", "\x00a\x1fb\x7fc d"]
+    table = neardup.WordHash()
+    for text in texts + ["".join(chr(c) + "a" for c in range(1, 0x3000))]:
+        words, hashes = neardup.split_words(text, table)
+        assert [w.decode() for w in words] == re.findall(r"[^\W_]+", text.lower()) and len(hashes) == len(words)
+        assert hashes.tolist() == [int.from_bytes(blake2b(w, digest_size=8).digest(), "little") for w in words]
