@@ -105,15 +105,29 @@ def run_costs(steps: DataFrame, key: str = "task") -> DataFrame:
 def files_of_tools(tools: DataFrame, files: DataFrame, least: int = 2) -> DataFrame:
     """tool, path: data files that a tool's name (get_… or list_…) stands for. tools: tool; files: path, prefix.
 
-    The prefix is the name, or one contains the other and they share at least two tokens. Candidates meet on shared
-    tokens, so no table is crossed.
+    The prefix is the name, or one contains the other and they share at least two tokens. The longer one is cut into
+    those of its substrings that share as many tokens with it, and these are looked up among the shorter ones: every
+    pair that meets is a result, however many strings have tokens in common.
     """
     named = tools.select("tool", F.regexp_extract("tool", r"^(?:get|list)_(.+)$", 1).alias("name")).where("name != ''").distinct()
-    tokens = lambda c: F.explode(F.array_distinct(F.split(c, "_"))).alias("token")
-    a, b = named.select("tool", "name", tokens(F.col("name"))), files.select("path", "prefix").distinct().select("path", "prefix", tokens(F.col("prefix")))
-    shared = a.join(b, "token").groupBy("tool", "name", "path", "prefix").agg(F.count("*").alias("n"))
-    alike = (F.col("n") >= least) & (F.contains("prefix", F.col("name")) | F.contains("name", F.col("prefix")))
-    return shared.where((F.col("name") == F.col("prefix")) | alike).select("tool", "path")
+    data = files.select("path", "prefix").distinct()
+    names, prefixes = named.select("name").distinct(), data.where("prefix is not null").select("prefix").distinct()
+    shared = lambda x, y: F.size(F.array_intersect(F.split(x, "_"), F.split(y, "_")))
+
+    def within(short: DataFrame, a: str, long: DataFrame, b: str) -> DataFrame:
+        rest = F.expr(f"substring({b}, start)")
+        whole = F.split(rest, "_")  # tokens shared by what starts here: whole ones, and one that may be cut at its end
+        spread = long.repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), b)  # few bytes, much work: not to be coalesced
+        starts = spread.select(b, F.explode(F.expr(f"sequence(1, length({b}))")).alias("start"))
+        starts = starts.where(F.size(F.array_intersect(F.slice(whole, 1, F.size(whole) - 1), F.split(b, "_"))) >= least - 1)
+        ends = F.transform(F.sequence(F.lit(0), F.length(rest)), lambda n: F.substring(F.col(b), F.col("start"), n))
+        parts = starts.where(F.length(rest) > 0).select(b, F.explode(F.transform(F.filter(ends, lambda x: shared(x, F.col(b)) >= least), lambda x: F.xxhash64(x))).alias("h")).distinct()
+        return short.select(a, F.xxhash64(a).alias("h")).join(parts, "h").where(F.contains(b, a) & (shared(F.col(a), F.col(b)) >= least)).select("name", "prefix")
+
+    least = max(least, 1)
+    equal = names.join(prefixes, F.col("name") == F.col("prefix"))
+    alike = within(names, "name", prefixes, "prefix").unionAll(within(prefixes, "prefix", names, "name")).unionAll(equal).distinct()
+    return alike.join(named, "name").join(data, "prefix").select("tool", "path")
 
 
 def numbered(text: Column, most: int) -> Column:

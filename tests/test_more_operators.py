@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 import uuid
 
 import pytest
@@ -160,3 +161,24 @@ def test_links_of_pages_in_any_form(spark, tmp_path):
     rows = [(1, '<base href="/d/"><A class=x HREF=\'one\'>1</A>', "https://a.example/p"), (2, '<a href="/two">2</a>', "https://a.example/p"), (3, None, "https://a.example/p"), (4, "<a>none</a>", "https://a.example/p")]
     spark.createDataFrame([(a, h, u, None) for a, h, u in rows], "page_id bigint, html string, url string, scraped_at timestamp").write.parquet(str(tmp_path / "pages.parquet"))
     assert sorted(tuple(r) for r in web._page_links(spark, str(tmp_path)).collect()) == [(1, "https://a.example/d/one"), (2, "https://a.example/two")]
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_files_of_tools_against_all_pairs(spark, least):
+    rng = random.Random(least)
+    name = lambda: "".join(rng.choice(["a", "b", "ab", "_", "_", "é"]) for _ in range(rng.randint(0, 7)))
+    tools = [rng.choice(["get_", "list_", "put_"]) + name() for _ in range(60)] + [None, "get_a_b", "get_a_b", "get_"]
+    files = [(f"data/{i}", name()) for i in range(60)] + [("x", None), (None, "a_b"), ("two", "a_b"), ("two", "a_b_a"), ("e", "")]
+    alike = lambda a, b: (a in b or b in a) and len(set(a.split("_")) & set(b.split("_"))) >= least
+    want = [(t, p) for t in set(tools) - {None} if t.startswith(("get_", "list_")) and (n := t.split("_", 1)[1]) for p, f in set(files) if f is not None and (n == f or alike(n, f))]
+    got = repos.files_of_tools(spark.createDataFrame([(t,) for t in tools], "tool string"), spark.createDataFrame(files, "path string, prefix string"), least)
+    order = lambda rows: sorted(rows, key=str)
+    assert order(tuple(r) for r in got.collect()) == order(want) and len(want) > 5
+
+
+def test_files_of_tools_that_share_common_tokens(spark):
+    """9,000 names on 9,000 files, all with the same two tokens: 81 million pairs, of which 9,000 are meant."""
+    files = spark.range(9000).select(F.concat(F.lit("page_"), F.col("id") + 10000, F.lit("_utm_feed")).alias("prefix")).withColumn("path", F.col("prefix"))
+    at = time.monotonic()
+    assert repos.files_of_tools(files.select(F.concat(F.lit("get_"), "prefix").alias("tool")), files).count() == 9000
+    assert time.monotonic() - at < 90
