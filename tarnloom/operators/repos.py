@@ -117,7 +117,7 @@ def files_of_tools(tools: DataFrame, files: DataFrame, least: int = 2) -> DataFr
     def within(short: DataFrame, a: str, long: DataFrame, b: str) -> DataFrame:
         rest = F.expr(f"substring({b}, start)")
         whole = F.split(rest, "_")  # tokens shared by what starts here: whole ones, and one that may be cut at its end
-        spread = long.repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), b)  # few bytes, much work: not to be coalesced
+        spread = long.repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work: in turn, which is neither dropped nor coalesced
         starts = spread.select(b, F.explode(F.expr(f"sequence(1, length({b}))")).alias("start"))
         starts = starts.where(F.size(F.array_intersect(F.slice(whole, 1, F.size(whole) - 1), F.split(b, "_"))) >= least - 1)
         ends = F.transform(F.sequence(F.lit(0), F.length(rest)), lambda n: F.substring(F.col(b), F.col("start"), n))
