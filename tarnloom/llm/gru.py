@@ -58,10 +58,11 @@ class ByteGRU:
             out[steps - 1 - t, :, k:] = h[1]
         return out
 
-    def positions(self, data: np.ndarray) -> np.ndarray:
-        """(T, B, classes): the probabilities of every position of windows (B, T).
+    def _by_step(self, data: np.ndarray) -> np.ndarray:
+        """(classes, T, B): the probabilities of every position of windows (B, T).
 
-        Both directions and all gates run side by side in buffers that stay in the processor's cache.
+        Both directions and all gates run side by side in buffers that stay in the processor's cache; a state is written
+        where the output layer reads it, and classes come first so that their sums run along whole rows.
         """
         n, steps = data.shape
         k = self.h
@@ -71,42 +72,48 @@ class ByteGRU:
         rows[:, 1] += 256
         base = (512 * np.arange(3))[:, None, None]
         table = np.ascontiguousarray(self.x.reshape(1536, k))
+        u, half = self.u.copy(), np.repeat(0.5 * self.b, n, axis=1)  # gates are kept doubled; halves of what they multiply make up for it
+        u[2] *= 0.5
         h = np.zeros((2, n, k), np.float32)
         at = np.empty((3, 2, n), np.intp)
         xt, g, d = (np.empty((3, 2, n, k), np.float32) for _ in range(3))
-        out = np.empty((steps, n, 2 * k), np.float32)
-        zr, cand, gn, dc = xt[:2], xt[2], g[2], d[2]
+        out = np.empty((2, steps, n, k), np.float32)  # by direction and step: the second runs from the end
+        zr, cand, gn, dzr, dc = xt[:2], xt[2], g[2], d[:2], d[2]
         for t in range(steps):
             np.add(base, rows[t], out=at)
             np.take(table, at, axis=0, out=xt, mode="clip")
-            np.matmul(h, self.u, out=g)
+            np.matmul(h, u, out=g)
             zr += g[:2]
-            np.abs(zr, out=d[:2])
-            d[:2] += 1
-            zr /= d[:2]
+            np.abs(zr, out=dzr)
+            dzr += 1
+            zr /= dzr
             zr += 1
-            zr *= 0.5
-            gn += self.b
+            gn += half
             gn *= zr[1]
             cand += gn
             np.abs(cand, out=dc)
             dc += 1
             cand /= dc
-            h -= cand
-            h *= zr[0]
-            h += cand
-            out[t, :, :k] = h[0]
-            out[steps - 1 - t, :, k:] = h[1]
-        logits = out.reshape(-1, 2 * k) @ self.v + self.c
-        np.exp(logits, out=logits)
-        logits /= logits.sum(-1, keepdims=True)
-        return logits.reshape(steps, n, self.k)
+            np.subtract(h, cand, out=dc)
+            dc *= zr[0]
+            dc *= 0.5
+            h = np.add(dc, cand, out=out[:, t])
+        p, back = ((self.v[i * k : (i + 1) * k].T @ out[i].reshape(-1, k).T).reshape(self.k, steps, n) for i in (0, 1))
+        p += back[:, ::-1]
+        p += self.c[:, None, None]
+        np.exp(p, out=p)
+        p /= p.sum(0)
+        return p
+
+    def positions(self, data: np.ndarray) -> np.ndarray:
+        """(T, B, classes): the probabilities of every position of windows (B, T)."""
+        return self._by_step(data).transpose(1, 2, 0)
 
     def probabilities(self, data: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """(B, classes): the probabilities of every position, summed over those that the mask counts."""
-        p = self.positions(data)
-        p *= mask.T[:, :, None]
-        return p.sum(0)
+        p = self._by_step(data)
+        p *= mask.T.astype(np.float32)
+        return p.sum(1).T
 
     def gradients(self, data: np.ndarray, label: np.ndarray, mask: np.ndarray) -> tuple[float, list[np.ndarray]]:
         n, steps = data.shape

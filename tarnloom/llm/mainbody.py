@@ -21,8 +21,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnloom.llm.arrow import Hashed, distinct, map_rows
-from tarnloom.llm.tagpaths import LINK_TARGET, page_lines
+from tarnloom.llm.arrow import ASCII_SIGNS, Hashed, distinct, map_rows
+from tarnloom.llm.tagpaths import LINK_TARGET, lines_of
 from tarnloom.session import materialize
 
 BITS = 18  # buckets of the word table: 2**18 pairs of counts, whatever the corpus
@@ -31,17 +31,20 @@ SHORT = 250  # characters up to which words may turn a plain paragraph into boil
 CAP = 3.0  # of one feature's log-odds
 
 WORD = re.compile(r"[^\W\d_]+|\d+")
-WORD_OR_END = re.compile(r"[^\W\d_]+|\d+|\n")
+LINE_SIGNS = ASCII_SIGNS[:10] + b"\0" + ASCII_SIGNS[11:]  # a line's end becomes a sign of its own
+MIXED = -2
 LINK_LINE = re.compile(r"^\s*(?:[-*•]\s*)?!?\[[^\]]*\]\([^()\s]*\)")
 
 
 class LineWords(Hashed):
-    """Hashed words; digits count as one word, a line's end is -1."""
+    """Hashed words; digits count as one word, a line's end is -1, what WORD would part further is MIXED."""
 
     def __missing__(self, word: str) -> int:
-        if word == "\n":
+        if word == "\0":
             self[word] = -1
             return -1
+        if not word.isdecimal() and (not word.isalnum() or any(map(str.isdecimal, word))):
+            return MIXED
         if word[0] <= "9":
             word = "0"
             if "0" in self:
@@ -60,7 +63,11 @@ def words_of_lines(lines: list[str], table: LineWords) -> list[int]:
     text = "\n".join(lines)
     if "](" in text:
         text = LINK_TARGET.sub("]", text)
-    out = list(map(table.__getitem__, WORD_OR_END.findall(text.casefold())))
+    signs = text.casefold().encode("utf-8", "surrogatepass").translate(LINE_SIGNS).replace(b"\0", b" \0 ")
+    words = signs.decode("utf-8", "surrogatepass").split()
+    out = list(map(table.__getitem__, words))
+    if MIXED in out:
+        out = [x for w, k in zip(words, out) for x in ((k,) if k != MIXED else map(table.__getitem__, WORD.findall(w)))]
     out.append(-1)
     return out
 
@@ -79,11 +86,11 @@ def parsed_lines(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
     def parse(c: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"page_id": c["page_id"], "scraped_at": c["scraped_at"], **{k: c[k] for k in carry}, "rich": [], "no": [], "code": [], "text": []}
         for html, markdown in zip(c["html"], c["markdown"]):
-            lines = page_lines(html, markdown)
-            out["rich"].append(bool(lines and lines[0].sure))
-            out["no"].append([x.no for x in lines])
-            out["code"].append([(x.content + 1) * 4 + x.shape for x in lines])
-            out["text"].append([x.text for x in lines])
+            sure, no, text, content, shape = lines_of(html, markdown)
+            out["rich"].append(bool(no and sure))
+            out["no"].append(no)
+            out["code"].append([(c + 1) * 4 + s for c, s in zip(content, shape)])
+            out["text"].append(text)
         return out
 
     schema = ", ".join(["page_id bigint", f"scraped_at {kinds['scraped_at']}", *(f"`{k}` {kinds[k]}" for k in carry), "rich boolean", "no array<int>", "code array<int>", "text array<string>"])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tarnloom.llm.arrow import Hashed, map_rows
+from tarnloom.llm.arrow import Hashed, cut_words, map_rows
 from tarnloom.llm.labels import language_code
 from tarnloom.llm.mainbody import main_body
 from tarnloom.session import materialize
@@ -54,10 +54,10 @@ FORM_WORDS = frozenset(
 FORM_SHARE = 0.08
 MIN_JUNK = 120  # characters; a shorter text is a message, whatever its words
 
+HEADING = re.compile(r"\s*#{1,6}\s")
 ITEM = re.compile(r"\s*(?:[-*•+–‣▪]\s|\(?\d{1,4}[.)]\s|[a-z][.)]\s)")
 PIPES = re.compile(r"^\s*\|.*\|\s*$")
 COLUMNS = (re.compile(r"\t"), re.compile(r";"), re.compile(r" {3,}"), re.compile(r"\s\|\s|^\||\|$"))
-WORD = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[.!?…](?:\s|$|[\"'”’»)*_])")
 END_SIGNS = frozenset(".!?…")
@@ -72,7 +72,7 @@ def ends_sentence(line: str) -> bool:
 def table_rows(lines: list[str]) -> list[bool]:
     """Per line of one block, whether it is a row: the block's lines share a delimiter as often, or nearly."""
     if len(lines) == 1:
-        return [bool(PIPES.match(lines[0])) and lines[0].count("|") > 2]
+        return [lines[0].count("|") > 2 and bool(PIPES.match(lines[0]))]
     for sign in COLUMNS:
         counts = [len(sign.findall(x)) for x in lines]
         usual = max(set(counts), key=counts.count)
@@ -88,10 +88,11 @@ def blocks_of(no: list[int], lines: list[str]) -> list[list[str]]:
     last = None
     for n, t in zip(no, lines):
         t = t.rstrip("\r\n")
-        if t.lstrip().startswith("```"):
+        sign = t.lstrip()[:3]
+        if sign == "```":
             last = n
             continue
-        if t.lstrip().startswith("#") and re.match(r"\s*#{1,6}\s", t):
+        if sign[:1] == "#" and HEADING.match(t):
             last = None
             continue
         if last is not None and n == last + 1 and out:
@@ -104,6 +105,8 @@ def blocks_of(no: list[int], lines: list[str]) -> list[list[str]]:
 
 def kinds_of(block: list[str]) -> list[str]:
     """Per line of a block: list, table or text."""
+    if len(block) == 1:
+        return ["table" if table_rows(block)[0] else "list" if ITEM.match(block[0]) else "text"]
     items = [ITEM.match(x) is not None for x in block]
     if len(block) >= 3 and sum(items) >= 0.6 * len(block):
         return ["list"] * len(block)
@@ -173,7 +176,7 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
             for block in blocks_of(no, lines):
                 text = " ".join(x.strip() for x in block)
                 if ends_sentence(text):
-                    found = WORD.findall(text.casefold())
+                    found = cut_words(text.casefold())
                     once = set(found)
                     if len(found) >= 6 and len(once) > len(found) // 2:
                         words.update(map(table.__getitem__, once))
@@ -255,8 +258,8 @@ def page_statistics(body: DataFrame, carry: list[str] = (), paragraphs: bool = F
             junk = weight = n_words = signs = letters = longest = digits = 0
             common = distinct = 0.0
             for block in m.text:
-                words = WORD.findall(block.casefold())
-                n_signs, n_digits = sum(map(len, block.split())), sum(map(block.count, "0123456789"))
+                words = cut_words(block.casefold())
+                n_signs, n_digits = len("".join(block.split())), sum(map(block.count, "0123456789"))
                 share, pairs = junk_measures(n_signs, n_digits, words, inside)
                 lengths = list(map(len, words))
                 n_words += len(words)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from tarnloom.llm.arrow import Hashed, distinct, map_rows
+from tarnloom.llm.arrow import Hashed, cut_words, distinct, map_rows
 from tarnloom.llm.mainbody import main_body
 from tarnloom.llm.sitelines import site_of
 from tarnloom.session import materialize
@@ -63,7 +63,6 @@ FILLER = frozenset(
 )
 #: Signs without one of which LEFT_OVER matches nothing; looking for them first is cheap.
 SIGNS = ("{", "[[", "[INSERT", "[insert", "[YOUR", "[your", "[ADD", "[add", "[object", "<", "%", "@@", "#", "_", "&lt;", "XXX", "TODO", "undefined", "NaN")
-WORD = re.compile(r"[^\W_]+")
 MARKED = re.compile(r"[^\W_]+|\x01")
 ITEM = re.compile(r"\s*(?:[-*•|]\s|\d+[.)]\s)")
 SLOT = -1
@@ -99,7 +98,7 @@ def has_residue(text: str) -> bool:
 
 
 def is_filler(text: str) -> bool:
-    return _is_filler(WORD.findall(text.casefold()))
+    return _is_filler(cut_words(text.casefold()))
 
 
 def _is_filler(words: list[str]) -> bool:
@@ -150,7 +149,7 @@ def body_units(body: DataFrame) -> DataFrame:
             for text, n in units_of(no, lines):
                 heading = text.startswith("#")
                 left = has_residue(text)
-                words = WORD.findall(text.casefold())
+                words = cut_words(text.casefold())
                 filler = not heading and _is_filler(words)
                 if left:
                     words = MARKED.findall(LEFT_OVER.sub(" " + LEFT + " ", text).casefold())

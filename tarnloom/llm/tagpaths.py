@@ -20,9 +20,10 @@ CHROME = frozenset("nav header footer aside form button select label dialog".spl
 ENDS_P = frozenset("p div ul ol li table h1 h2 h3 h4 h5 h6 pre form section article aside footer header nav main blockquote dl".split())
 
 HIDDEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|$)", re.S | re.I)
-TOKEN = re.compile(r"<(/?)([a-zA-Z][\w:-]*)([^<>]*)>|([^<]+|<)")
+TAG = re.compile(r"(/?)([a-zA-Z][\w:-]*)([^<>]*)")
 MARKER = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NOT_WORD = re.compile(r"[\W_]+")
+ASCII_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
 SPACE = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，；！？]")
 LINK_TARGET = re.compile(r"\]\([^()\s]*\)")
@@ -36,7 +37,7 @@ LONG = 200  # characters of the longest paragraph of a page rich in text
 class Path:
     """One root-to-leaf path of a page, with what its nodes sum up to."""
 
-    __slots__ = ("marks", "names", "chrome", "parent", "count", "chars", "punct", "linked", "ratio")
+    __slots__ = ("marks", "names", "chrome", "parent", "count", "chars", "punct", "linked", "ratio", "log")
 
     def __init__(self, marks: tuple[str, ...], names: tuple[str, ...]):
         self.marks, self.names = marks, names
@@ -48,7 +49,7 @@ class Path:
             k -= 1
         self.parent = marks[:k] if k < len(names) else marks[:-1]
         self.count = self.chars = self.punct = self.linked = 0
-        self.ratio = 0.0
+        self.ratio = self.log = 0.0
 
 
 class Node(NamedTuple):
@@ -73,51 +74,68 @@ def text_nodes(html: str) -> list[Node]:
     nodes: list[Node] = []
     buffer: list[str] = []
     paths: dict[tuple[str, ...], Path] = {}
+    path: Path | None = None  # of the open elements, once asked for
     linked = 0
     in_link = False
 
-    for closing, tag, attributes, text in TOKEN.findall(html):
-        if text:
-            buffer.append(text)
+    at, *parts = html.split("<")
+    if at:
+        buffer.append(at)
+    for part in parts:
+        inside, end, text = part.partition(">")
+        if end and inside[:2] == "a ":
+            kind, closing, tag = 3, False, "a"
+        elif end:
+            kind, closing, tag, mark = _TAGS[inside]
+        if not end or kind < 0:  # no tag: the sign is text
+            buffer.append("<" + part)
             if in_link:
-                linked += len(text)
+                linked += 1 + len(part)
             continue
-        tag = tag.lower()
-        if tag == "a":
-            in_link = not closing
-            buffer.append(" ")
-            continue
-        if tag in INLINE:
-            continue
-        if tag in VOID:
-            buffer.append(" ")
+        if kind:
+            if kind == 3:
+                in_link = not closing
+            if kind > 1:
+                buffer.append(" ")
+            if text:
+                buffer.append(text)
+                if in_link:
+                    linked += len(text)
             continue
         if buffer:
-            _keep(nodes, paths, stack, marks, buffer, linked)
-            buffer = []
+            words = buffer[0] if len(buffer) == 1 else "".join(buffer)
+            if not words.isspace():
+                path = path or _path(paths, stack, marks)
+                _keep(nodes, path, words, linked)
             linked = 0
+        buffer = [text] if text else []
         in_link = False
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i] == tag:
                     del stack[i:], marks[i:]
+                    path = None
                     break
             continue
         if stack:
             top = stack[-1]
             if top == "p" and tag in ENDS_P or tag == "li" and top == "li":
                 del stack[-1], marks[-1]
+                path = None
             elif tag in ("td", "th", "tr") and top in ("td", "th", "tr") and "table" in stack:
                 while stack and stack[-1] in (("td", "th") if tag != "tr" else ("td", "th", "tr")):
                     del stack[-1], marks[-1]
-        if not attributes.endswith("/"):
+                path = None
+        if mark is not None:
             stack.append(tag)
-            marks.append(tag + _MARKS[attributes] if "=" in attributes else tag)
+            marks.append(mark)
+            path = None
     if buffer:
-        _keep(nodes, paths, stack, marks, buffer, linked)
+        _keep(nodes, path or _path(paths, stack, marks), "".join(buffer), linked)
     for p in paths.values():
         if p.count:
             p.ratio = (p.chars / p.count) * (1 + p.punct / p.count) * (1 - p.linked / max(1, p.chars))
+            p.log = math.log1p(p.ratio)
     return nodes
 
 
@@ -139,21 +157,51 @@ class _Marks(dict):
 _MARKS = _Marks()
 
 
-def _keep(nodes: list[Node], paths: dict, stack: list[str], marks: list[str], buffer: list[str], linked: int) -> None:
-    text = "".join(buffer)
+class _Tags(dict):
+    """What stands between < and >, remembered: its kind, whether it closes, its name in lower case, and its mark (None if empty).
+
+    Kinds are -1 for no tag, 0 for a block, 1 within a line, 2 without end tag, 3 for a link.
+    """
+
+    def __missing__(self, inside: str) -> tuple[int, bool, str, str | None]:
+        if len(self) > 50_000:
+            self.clear()
+        m = TAG.fullmatch(inside)
+        if m is None:
+            value = (-1, False, "", None)
+        else:
+            tag, attributes = m[2].lower(), m[3]
+            kind = 3 if tag == "a" else 1 if tag in INLINE else 2 if tag in VOID else 0
+            mark = None if attributes.endswith("/") else tag + _MARKS[attributes] if "=" in attributes else tag
+            value = (kind, bool(m[1]), tag, mark)
+        self[inside] = value
+        return value
+
+
+_TAGS = _Tags()
+
+
+def _path(paths: dict, stack: list[str], marks: list[str]) -> Path:
+    key = tuple(marks)
+    path = paths.get(key)
+    if path is None:
+        path = paths[key] = Path(key, tuple(stack))
+    return path
+
+
+def _keep(nodes: list[Node], path: Path, text: str, linked: int) -> None:
     if "&" in text:
         text = unescape(text)
     text = " ".join(text.split())
     if not text:
         return
-    key = tuple(marks)
-    path = paths.get(key)
-    if path is None:
-        path = paths[key] = Path(key, tuple(stack))
-    linked = min(linked, len(text))
+    n = len(text)
+    if linked > n:
+        linked = n
     path.count += 1
-    path.chars += len(text)
-    path.punct += len(PUNCTUATION.findall(text))
+    path.chars += n
+    if not text.isalnum():
+        path.punct += len(PUNCTUATION.findall(text))
     path.linked += linked
     nodes.append(Node(path, text, linked))
 
@@ -165,9 +213,9 @@ def containers_of(nodes: list[Node]) -> tuple[list[tuple[str, ...]], bool, bool]
     The parent element with most selected text is a container, and so is every other whose text above the mean passes the
     threshold of enough text and BESIDE of the first one's; the first heading's parent stands in on pages with little text.
     """
-    raw = [math.log1p(n.path.ratio) for n in nodes]
+    raw = [n.path.log for n in nodes]
     n = len(raw)
-    fused = [math.sqrt(raw[i] * (0.25 * raw[i and i - 1] + 0.5 * raw[i] + 0.25 * raw[min(i + 1, n - 1)])) for i in range(n)]
+    fused = [math.sqrt(x * (0.25 * before + 0.5 * x + 0.25 * after)) for before, x, after in zip([raw[0], *raw], raw, [*raw[1:], raw[-1]])]
     mean = sum(fused) / n
     cut = mean + 0.5 * math.sqrt(sum((x - mean) ** 2 for x in fused) / n)
     weight: dict[tuple[str, ...], int] = {}
@@ -216,7 +264,7 @@ def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
             if k == 2:
                 depths[id(p)] = depth
                 rest = p.marks[depth:]
-                kinds[rest] = kinds.get(rest, 0.0) + p.chars * math.log1p(p.ratio)
+                kinds[rest] = kinds.get(rest, 0.0) + p.chars * p.log
         if k == 2:
             longest = max(longest, len(n.text))
     main = max(kinds, key=lambda k: kinds[k], default=None)
@@ -238,10 +286,21 @@ def node_labels(nodes: list[Node]) -> tuple[list[int], list[int], bool]:
 
 def page_lines(html: str | None, markdown: str) -> list[Line]:
     """The non-blank lines of markdown with what the page's structure says of each."""
-    lines = [(i, s) for i, s in enumerate(markdown.split("\n"), 1) if s and not s.isspace()]
+    sure, no, text, content, shape = lines_of(html, markdown)
+    return [Line(i, s, c, int(sure), k) for i, s, c, k in zip(no, text, content, shape)]
+
+
+def lines_of(html: str | None, markdown: str) -> tuple[bool, list[int], list[str], list[int], list[int]]:
+    """page_lines as a page's `sure` and the no, text, content and shape of its lines."""
+    no: list[int] = []
+    text: list[str] = []
+    for i, s in enumerate(markdown.split("\n"), 1):
+        if s and not s.isspace():
+            no.append(i)
+            text.append(s)
     nodes = text_nodes(html) if html else []
     if not nodes:
-        return [Line(i, s, -1, 0, 0) for i, s in lines]
+        return False, no, text, [-1] * len(no), [0] * len(no)
     labels, shapes, sure = node_labels(nodes)
     exact: dict[str, list[int]] = {}
     for j, n in enumerate(nodes):
@@ -249,37 +308,47 @@ def page_lines(html: str | None, markdown: str) -> list[Line]:
     search: _Search | None = None
     found: list[int] = []
     last = 0
-    for i, s in lines:
+    missing = False
+    for s in text:
         key = " ".join(s.split()).casefold()
         at = exact.get(key)
         if at is None:
             if "](" in key:
                 key = LINK.sub(r"\1", key)
-            at = exact.get(key.lstrip("#*-•> ").lstrip("0123456789").lstrip(".) ")) or exact.get(key.lstrip("#*-•> "))
+            bare = key.lstrip("#*-•> ")
+            at = exact.get(bare.lstrip("0123456789").lstrip(".) ")) or exact.get(bare)
             if at is None and "|" in key:
                 at = exact.get(key.strip("| ").split("|")[0].strip())
         if at is None:
             search = search or _Search(nodes)
             hit = search(s, last)
+            missing |= hit < 0
+        elif len(at) == 1:
+            hit = at[0]
         else:
             hit = next((j for j in at if j >= last), at[0])
         if hit > last:
             last = hit
         found.append(hit)
-    # A line that stands in no node goes with its block; blocks are what blank lines part.
-    out: list[Line] = []
-    k = 0
-    while k < len(lines):
-        e = k + 1
-        while e < len(lines) and lines[e][0] == lines[e - 1][0] + 1:
-            e += 1
-        for j in range(k, e):
-            h = found[j]
-            if h < 0:
-                h = next((found[m] for m in sorted(range(k, e), key=lambda m: abs(m - j)) if found[m] >= 0), -1)
-            out.append(Line(lines[j][0], lines[j][1], labels[h] if h >= 0 else -1, int(sure), shapes[h] if h >= 0 else 0))
-        k = e
-    return out
+    if missing:  # a line that stands in no node goes with its block; blocks are what blank lines part
+        near = found.copy()
+        k = 0
+        while k < len(no):
+            e = k + 1
+            while e < len(no) and no[e] == no[e - 1] + 1:
+                e += 1
+            for j in range(k, e):
+                if found[j] < 0:
+                    near[j] = next((found[m] for m in sorted(range(k, e), key=lambda m: abs(m - j)) if found[m] >= 0), -1)
+            k = e
+        found = near
+    return sure, no, text, [labels[h] if h >= 0 else -1 for h in found], [shapes[h] if h >= 0 else 0 for h in found]
+
+
+def letters_of(text: str) -> str:
+    """The letters and digits alone, in their order."""
+    text = text.encode("utf-8", "surrogatepass").translate(None, ASCII_SIGNS).decode("utf-8", "surrogatepass")
+    return text if text.isalnum() else NOT_WORD.sub("", text)
 
 
 class _Search:
@@ -287,7 +356,7 @@ class _Search:
 
     def __init__(self, nodes: list[Node]):
         self.nodes = nodes
-        self.words = [NOT_WORD.sub("", n.text).casefold() for n in nodes]
+        self.words = [letters_of(n.text).casefold() for n in nodes]
         self.joined = "".join(self.words)
         self.starts = []
         at = 0
@@ -297,7 +366,7 @@ class _Search:
         self.dense: list[str] | None = None
 
     def __call__(self, line: str, last: int) -> int:
-        own = NOT_WORD.sub("", LINK_TARGET.sub("]", line) if "](" in line else line).casefold()
+        own = letters_of(LINK_TARGET.sub("]", line) if "](" in line else line).casefold()
         if own:
             k = self.joined.find(own, self.starts[last])
             if k < 0:
