@@ -25,7 +25,7 @@ from tarnloom.llm.arrow import ASCII_SIGNS, Hashed, distinct, map_rows
 from tarnloom.llm.tagpaths import LINK_TARGET, lines_of
 from tarnloom.session import materialize
 
-BITS = 18  # buckets of the word table: 2**18 pairs of counts, whatever the corpus
+BITS, LAST = 18, (1 << 18) - 1  # buckets of the word table: 2**18 pairs of counts, whatever the corpus
 PARAGRAPH = 120  # characters from which a plain paragraph of a rich page teaches what content says
 SHORT = 250  # characters up to which words may turn a plain paragraph into boilerplate
 CAP = 3.0  # of one feature's log-odds
@@ -73,8 +73,8 @@ def words_of_lines(lines: list[str], table: LineWords) -> list[int]:
 
 
 def pair(a, b):
-    """Bucket of a word pair."""
-    return (a * 40503 + b * 7919 + 12345) & ((1 << BITS) - 1)
+    """Bucket of a word pair (is_boilerplate has it in line)."""
+    return (a * 40503 + b * 7919 + 12345) & LAST
 
 
 def parsed_lines(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
@@ -148,7 +148,7 @@ def is_boilerplate(text: str, code: int, rich: bool, odds: list[float], table: L
     if content == 0 and shape == 0 or content < 0 and shape == 3 and LINK_LINE.match(text):
         return True
     words = line_words(text, table)
-    score = sum([odds[f] for f in {*words, *map(pair, words, words[1:])}])
+    score = sum([odds[f] for f in {*words, *[(a * 40503 + b * 7919 + 12345) & LAST for a, b in zip(words, words[1:])]}])
     if content == 1:
         return score > (1.0 if rich else 4.0)
     if content == 0:

@@ -169,8 +169,8 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
     """Per language label and, under '', for all: buckets of words met in sentences of enough texts; fixed size each."""
 
     def count(c: dict[str, list], table: Hashed) -> dict[str, list]:
-        sums: dict[str, np.ndarray] = {"": np.zeros(1 << BITS, np.int64)}
-        pages = {"": 0}
+        sums: dict[str, np.ndarray] = {}
+        pages: dict[str, int] = {}
         for lang, no, lines in zip(c["lang"], c["body_no"], c["body"]):
             words: set[int] = set()
             for block in blocks_of(no, lines):
@@ -181,12 +181,12 @@ def known_words(body: DataFrame) -> dict[str, np.ndarray]:
                     if len(found) >= 6 and len(once) > len(found) // 2:
                         words.update(map(table.__getitem__, once))
             if words:
-                at = list(words)
-                for group in ("", lang) if lang != "und" else ("",):
-                    if group not in sums:
-                        sums[group], pages[group] = np.zeros(1 << BITS, np.int64), 0
-                    sums[group][at] += 1
-                    pages[group] += 1
+                if lang not in sums:
+                    sums[lang], pages[lang] = np.zeros(1 << BITS, np.int64), 0
+                sums[lang][np.fromiter(words, np.int64, len(words))] += 1
+                pages[lang] += 1
+        sums[""], pages[""] = sum(sums.values(), np.zeros(1 << BITS, np.int64)), sum(pages.values())
+        sums.pop("und", None)
         out: dict[str, list] = {"g": [], "f": [], "n": []}
         for group, held in sums.items():
             at = np.nonzero(held)[0]

@@ -135,12 +135,13 @@ def body_with_site(pages: DataFrame) -> DataFrame:
 
 
 HEADING, HAS_LEFT, RESIDUE, FILLED = 1, 2, 4, 8  # marks of a unit
-UNITS = "page_id bigint, site bigint, chars array<int>, lines array<int>, marks array<int>, sizes array<int>, words array<int>"
+UNITS = "page_id bigint, site bigint, chars array<int>, lines array<int>, marks array<int>, sizes array<int>, words binary"
 
 
 def body_units(body: DataFrame) -> DataFrame:
     """One row per page: the hash of its site, and for its units in order chars, lines (of lists and tables), marks and
-    sizes (number of words), with the hashed words of all in one array."""
+    sizes (number of words), with the hashed words of all in one array: its bytes as int32, which pass between
+    workers and tables whole."""
 
     def cut(c: dict[str, list], table: UnitWords) -> dict[str, list]:
         out: dict[str, list] = {"page_id": c["page_id"], "site": c["site"], "chars": [], "lines": [], "marks": [], "sizes": [], "words": []}
@@ -161,7 +162,7 @@ def body_units(body: DataFrame) -> DataFrame:
                     words = []
                 sizes.append(len(words))
                 ids += map(table.__getitem__, words)
-            for k, v in (("chars", chars), ("lines", n_lines), ("marks", marks), ("sizes", sizes), ("words", ids)):
+            for k, v in (("chars", chars), ("lines", n_lines), ("marks", marks), ("sizes", sizes), ("words", np.array(ids, np.int32).tobytes())):
                 out[k].append(v)
         return out
 
@@ -172,10 +173,11 @@ class Units:
     """The units of a batch of pages as flat arrays."""
 
     def __init__(self, batch: pa.RecordBatch):
-        lists = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i > 1 and n != "own"}
+        lists = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n in ("chars", "lines", "marks", "sizes")}
         flat = {n: c.flatten().to_numpy().astype(np.int64) for n, c in lists.items()}
         self.page_id, self.site = batch.column(0), batch.column(1).to_numpy()
-        self.chars, self.lines, self.sizes, self.words = (flat[n] for n in ("chars", "lines", "sizes", "words"))
+        self.chars, self.lines, self.sizes = (flat[n] for n in ("chars", "lines", "sizes"))
+        self.words = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.int32).astype(np.int64)
         self.heading, self.left, self.residue, self.filler = ((flat["marks"] & m) > 0 for m in (HEADING, HAS_LEFT, RESIDUE, FILLED))
         per = np.diff(lists["chars"].offsets.to_numpy())
         self.page = np.repeat(np.arange(batch.num_rows), per)
